@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, quality, secrets, urls
+from . import bpe, chat, quality, secrets, substrings, urls
 from .common import let, table
 
 
@@ -56,10 +56,35 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cleaned = substrings.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return cleaned.select("doc_id", "n_words", "n_removed", sha(F.col("kept_text")).alias("kept_sha256"))
+
+
+def tokenizer() -> tuple[dict[bytes, int], str]:
+    import public_tokenizers
+
+    return bpe.read_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken")), public_tokenizers.PATTERN
+
+
+def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranks, pattern = tokenizer()
+    encoded = bpe.encode_texts(table(spark, sf_dir, "documents").select("doc_id", "text"), ranks, pattern)
+    read_back = bpe.decode_ids(encoded.select("doc_id", "ids"), ranks)
+    return read_back.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        sha(F.array_join(F.col("ids").cast("array<string>"), ",")).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat_format": op1_chat_format,
     "op2_secret_scan": op2_secret_scan,
     "op3_url_filter": op3_url_filter,
     "op7_quality_rules": op7_quality_rules,
+    "op9_substring_dedup": op9_substring_dedup,
+    "op10_byte_bpe": op10_byte_bpe,
 }
 ORACLES: dict[str, str] = {}
