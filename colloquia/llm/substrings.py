@@ -107,7 +107,7 @@ def remove_repeats(docs: DataFrame, length: int = 20, text: str = "text", id_col
             yield _row({c: np.concatenate(x) for c, x in out.items()})
 
     full = dealt.join(survivors, k).mapInArrow(level_two, "g long, k long, a long, s int")
-    firsts = full.groupBy("g").agg(F.min(F.struct("k", "a", "s")).alias("o"), F.max(F.struct("k", "a", "s")).alias("z")).where("o < z").select("g", "o")
+    firsts = full.groupBy("g").agg(F.min(F.struct("k", "a", "s")).alias("o"), F.count("*").alias("n")).where("n > 1").select("g", "o")
     behind = full.join(firsts, "g").where(F.struct("k", "a", "s") > F.col("o"))
     gone = behind.groupBy(F.col("k").alias(k)).agg(F.collect_list(F.struct("a", "s")).alias(found))
 
