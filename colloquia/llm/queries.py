@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, quality, secrets, substrings, urls
+from . import bpe, chat, language, pii, quality, secrets, substrings, urls
 from .common import let, table
 
 
@@ -31,19 +31,19 @@ def op1_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digests.select("conv_id", "n_turns", "turns_sha256", F.length("loss").cast("long").alias("loss_chars"), sha(F.col("loss")).alias("loss_sha256"), "formatted_chars")
 
 
-def span_digests(rows: DataFrame, base: list[str]) -> DataFrame:
-    """Counts of the base kinds, their digest, and all spans, from an array of (start, ord, kind, end)."""
-    own = F.filter("spans", lambda s: s["kind"].isin(*base))
+def span_digests(rows: DataFrame, base: Callable[[Column], Column], kinds: list[str]) -> DataFrame:
+    """Counts of base spans by kind, their digest, and all spans, from an array of (start, ord, kind, end)."""
+    own = F.filter("spans", base)
 
     def count(kind: str) -> Column:
-        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+        return F.size(F.filter(own, lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
 
-    counts = [count(k) for k in base]
-    return rows.select("doc_id", *counts, sha(secrets.joined(own)).alias("base_sha256"), secrets.joined(F.col("spans")).alias("spans"))
+    return rows.select("doc_id", *map(count, kinds), sha(secrets.joined(own)).alias("base_sha256"), secrets.joined(F.col("spans")).alias("spans"))
 
 
 def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return span_digests(secrets.scan_secrets(table(spark, sf_dir, "documents")), ["assign", "access", "hex"])
+    kinds = [r.kind for r in secrets.BASE_RULES]
+    return span_digests(secrets.scan_secrets(table(spark, sf_dir, "documents")), lambda s: s["kind"].isin(*kinds), kinds)
 
 
 def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -51,6 +51,25 @@ def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge_urls(table(spark, sf_dir, "pages"), weights)
 
 
+def held_out(id_col: str = "doc_id") -> Column:
+    return F.coalesce(F.pmod(F.crc32(F.col(id_col).cast("string")), F.lit(4)) == 2, F.lit(False))
+
+
+def language_model(docs: DataFrame) -> language.LanguageModel:
+    return language.train(docs.where(~held_out()).select("doc_id", "text", "lang"))
+
+
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    judged = language.identify(docs.select("doc_id", "text"), language_model(docs))
+    return judged.select("doc_id", held_out().alias("held_out"), "lang_pred", "score", "share")
+
+
+def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find_pii(table(spark, sf_dir, "documents").select("doc_id", "text"), pii.train())
+    return span_digests(found, lambda s: s["base"], list(pii.KINDS))
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality.judge_quality(table(spark, sf_dir, "documents"))
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
@@ -83,6 +102,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat_format": op1_chat_format,
     "op2_secret_scan": op2_secret_scan,
     "op3_url_filter": op3_url_filter,
+    "op4_language_id": op4_language_id,
+    "op5_pii": op5_pii,
     "op7_quality_rules": op7_quality_rules,
     "op9_substring_dedup": op9_substring_dedup,
     "op10_byte_bpe": op10_byte_bpe,
