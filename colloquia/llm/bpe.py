@@ -9,6 +9,7 @@ side is decided by undoing merges at their border; no merge loop runs over texts
 from __future__ import annotations
 
 import base64
+import hashlib
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from itertools import chain
@@ -21,8 +22,10 @@ from pyspark.sql import functions as F
 
 from .common import fresh
 
-#: Pieces whose ids a worker remembers; a memo that starts anew when full.
-MEMO = 300_000
+#: Pieces whose ids a worker remembers, in each of two generations.
+MEMO = 200_000
+#: Token pairs whose verdict a worker remembers; starts anew when full.
+PAIRS = 400_000
 #: Bytes of text that one Arrow slice gathers at least before it is passed on.
 SLICE = 4_000_000
 
@@ -72,12 +75,15 @@ class Vocabulary:
 
 
 class Encoder:
-    """Encodes and decodes pieces; one per Python worker."""
+    """Encodes pieces; one per Python worker."""
 
     def __init__(self, vocabulary: Vocabulary):
         self.v = vocabulary
         self.longest = max(map(len, vocabulary.ranks))
         self.pairs: dict[int, bool] = {}
+        self.reach: dict[bytes, int] = {}  # longest token that ends with these three bytes
+        for token in vocabulary.ranks:
+            self.reach[token[-3:]] = max(len(token), self.reach.get(token[-3:], 2))
 
     def fits(self, a: int, b: int) -> bool:
         """Whether tokens a, b stay as they are when their bytes are encoded together.
@@ -88,7 +94,7 @@ class Encoder:
         key = a << 32 | b
         known = self.pairs.get(key)
         if known is None:
-            if len(self.pairs) > 1_000_000:
+            if len(self.pairs) >= PAIRS:
                 self.pairs.clear()
             known = self.pairs[key] = self._fits(a, b)
         return known
@@ -110,13 +116,19 @@ class Encoder:
 
     def extend(self, data: bytes, last: list[int], upto: int) -> None:
         """Store the last token of each prefix of data[:upto] that ``last`` doesn't have yet."""
-        ranks, tokens, left, fits, longest = self.v.ranks, self.v.tokens, self.v.left, self.fits, self.longest
+        known, left, fits, reach, pairs = self.v.ranks.get, self.v.left, self.fits, self.reach.get, self.pairs.get
         for end in range(len(last) + 1, upto + 1):
-            for start in range(max(0, end - longest), end):
-                t = ranks.get(data[start:end])
-                if t is not None and left[t] >= 0 and (not start or fits(last[start - 1], t)):
-                    last.append(t)
-                    break
+            for start in range(max(0, end - reach(data[max(0, end - 3) : end], 2)), end):
+                t = known(data[start:end])
+                if t is None or left[t] < 0:
+                    continue
+                if start:
+                    before = last[start - 1]
+                    fit = pairs(before << 32 | t)
+                    if not (fits(before, t) if fit is None else fit):
+                        continue
+                last.append(t)
+                break
             else:
                 raise ValueError("the vocabulary lacks a byte")
 
@@ -170,16 +182,34 @@ class PrefixTable:
 
 
 class _Memo(dict):
+    """Results by piece; when full, the older half goes, so that frequent pieces stay."""
+
     def __init__(self, make):
-        self.make = make
+        self.make, self.old = make, {}
 
     def __missing__(self, piece):
+        made = self.old.get(piece)
+        if made is None:
+            made = self.make(piece)
         if len(self) >= MEMO:
+            self.old = dict(self)
             self.clear()
-        self[piece] = made = self.make(piece)
+        self[piece] = made
         return made
 
 
+#: Of this Python worker: the memo of the last vocabulary, which later tasks use on.
+_KEPT: dict[str, _Memo] = {}
+
+
+def _memo(key: str, vocabulary) -> _Memo:
+    if key not in _KEPT:
+        _KEPT.clear()
+        encode = Encoder(vocabulary()).encode
+        _KEPT[key] = _Memo(lambda piece: tuple(encode(piece.encode())))
+    return _KEPT[key]
+
+
 def slices(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[pa.RecordBatch]:
     """Batches cut so that each holds about SLICE bytes of ``column``."""
     for batch in batches:
@@ -202,13 +232,13 @@ def encode_texts(docs: DataFrame, ranks: dict[bytes, int], pattern: str, text: s
 
     regex.compile(pattern)
     shared = docs.sparkSession.sparkContext.broadcast(Vocabulary.build(ranks))
+    key = hashlib.sha256(repr(sorted(ranks.items())).encode()).hexdigest()
     hold = fresh(docs, "ids")
 
     def run(batches):
         import regex
 
-        encode = Encoder(shared.value).encode
-        memo = _Memo(lambda piece: tuple(encode(piece.encode())))
+        memo = _memo(key, lambda: shared.value)
         pieces = regex.compile(pattern).findall
         for batch in slices(batches, text):
             flat, ends = [], [0]
