@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, language, pii, quality, secrets, substrings, urls
+from . import bpe, chat, decontaminate, language, pii, quality, secrets, substrings, urls
 from .common import let, table
 
 
@@ -75,6 +75,11 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    leaks = decontaminate.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return leaks.select("doc_id", "item_id", "n_windows", "at_word", "similarity")
+
+
 def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     cleaned = substrings.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return cleaned.select("doc_id", "n_words", "n_removed", sha(F.col("kept_text")).alias("kept_sha256"))
@@ -105,6 +110,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_language_id": op4_language_id,
     "op5_pii": op5_pii,
     "op7_quality_rules": op7_quality_rules,
+    "op8_decontaminate": op8_decontaminate,
     "op9_substring_dedup": op9_substring_dedup,
     "op10_byte_bpe": op10_byte_bpe,
 }
