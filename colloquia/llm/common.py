@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -46,12 +47,11 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
         directory = tempfile.mkdtemp(prefix="colloquia-checkpoint-")
         spark.conf.set("spark.checkpoint.dir", directory)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(directory)
     return directory
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """Cut the lineage by a reliable checkpoint in the shared folder."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def written(df: DataFrame) -> DataFrame:
+    """Write a table to the shared checkpoint folder and read it again: lineage is cut reliably."""
+    path = f"{checkpoint_dir(df.sparkSession).rstrip('/')}/colloquia/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, decontaminate, language, pii, quality, secrets, substrings, urls
+from . import bpe, chat, decontaminate, language, neardup, pii, quality, secrets, substrings, urls
 from .common import let, table
 
 
@@ -70,6 +70,10 @@ def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return span_digests(found, lambda s: s["base"], list(pii.KINDS))
 
 
+def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.link_components(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality.judge_quality(table(spark, sf_dir, "documents"))
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
@@ -109,6 +113,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_url_filter": op3_url_filter,
     "op4_language_id": op4_language_id,
     "op5_pii": op5_pii,
+    "op6_jaccard_join": op6_jaccard_join,
     "op7_quality_rules": op7_quality_rules,
     "op8_decontaminate": op8_decontaminate,
     "op9_substring_dedup": op9_substring_dedup,
