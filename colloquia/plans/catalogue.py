@@ -1,10 +1,542 @@
-"""Registered queries over the reference-side operators, each with its SQL twin."""
+"""Registered queries over the reference-side operators, each with its SQL twin.
+
+Every query runs over its whole tables. Inputs that the tables lack are derived by arithmetic
+(``derived``) in both engines.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ..functions import mcq, text
+from ..operators import questions as q
+from ..operators import ranking, transcript
+from ..sources import nested
+from ..streaming import blind as stream
+from . import derived as d
+from .provider import recorded
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
+
+
+def query(sql: str | None = None):
+    def keep(f):
+        QUERIES[f.__name__] = f
+        if sql:
+            ORACLES[f.__name__] = sql
+        return f
+
+    return keep
+
+
+def strip_sql(x: str) -> str:
+    return f"regexp_replace({x}, '^\\s+|\\s+$', '', 'g')"
+
+
+# Conversations
+
+
+@query("SELECT count(DISTINCT conv_id) AS conversations, count(DISTINCT (conv_id, turn // 3)) AS sessions, count(*) AS turns, count(*) AS questions FROM conversations")
+def dataset_stats(spark, sf):
+    turns = d.turns(spark, sf)
+    return transcript.dataset_stats(turns.select("record_idx").distinct(), turns, d.qa_items(spark, sf))
+
+
+@query("SELECT conv_id, count(*) AS n_turns, CAST(sum(length(text)) AS BIGINT) AS n_chars FROM conversations GROUP BY conv_id")
+def turns_per_conversation(spark, sf):
+    return d.conversations(spark, sf).groupBy("conv_id").agg(F.count("*").alias("n_turns"), F.sum(F.length("text")).alias("n_chars"))
+
+
+@query("SELECT role, count(*) AS n FROM conversations GROUP BY role")
+def role_counts(spark, sf):
+    return d.conversations(spark, sf).groupBy("role").agg(F.count("*").alias("n"))
+
+
+SESSIONS_SQL = f"""WITH {d.TURNS_SQL}, parts AS (SELECT record_idx, session_no, chr(10) || '--- Turn started at ' || coalesce(max(session_ts), 'Unknown time') || ' ---' || chr(10)
+ || string_agg(speaker || ': ' || text, chr(10) ORDER BY turn_idx) AS part FROM turns GROUP BY record_idx, session_no),
+ whole AS (SELECT record_idx, {strip_sql("string_agg(part, chr(10) ORDER BY session_no)")} AS t FROM parts GROUP BY record_idx)"""
+
+
+@query(f"{SESSIONS_SQL} SELECT record_idx, md5(t) AS md5, length(t) AS n_chars FROM whole")
+def transcript_md5(spark, sf):
+    whole = transcript.session_transcript(d.turns(spark, sf))
+    return whole.select("record_idx", F.md5(F.encode("transcript", "utf-8")).alias("md5"), F.length("transcript").cast("long").alias("n_chars"))
+
+
+@query(f"{SESSIONS_SQL} SELECT record_idx, md5(array_to_string(string_split(t, chr(10))[1:5], chr(10))) AS md5 FROM whole")
+def transcript_head_trim(spark, sf):
+    whole = transcript.session_transcript(d.turns(spark, sf))
+    return whole.select("record_idx", F.md5(F.encode(transcript.head_lines(F.col("transcript"), 5), "utf-8")).alias("md5"))
+
+
+@query(f"""WITH {d.TURNS_SQL}, parts AS (SELECT record_idx, session_no, chr(10) || '--- Turn started at ' || coalesce(max(session_ts), 'Unknown time') || ' ---' || chr(10)
+ || string_agg(CASE WHEN speaker = 'user' THEN 'user' ELSE 'assistant' END || ': ' || text, chr(10) ORDER BY turn_idx) AS part FROM turns GROUP BY record_idx, session_no)
+ SELECT record_idx, md5(string_agg(part, chr(10) ORDER BY session_no)) AS md5 FROM parts GROUP BY record_idx""")
+def transcript_two_party(spark, sf):
+    keyed = d.turns(spark, sf).withColumns({"key_idx": F.col("session_no"), "speaker_a": F.lit("user"), "speaker_b": F.lit("assistant")})
+    return transcript.two_party_transcript(keyed).select("record_idx", F.md5(F.encode("transcript", "utf-8")).alias("md5"))
+
+
+@query("""SELECT name, row_number() OVER (ORDER BY conv_id, turn, name) AS position FROM
+ (SELECT role AS name, min(conv_id * 1000 + turn) // 1000 AS conv_id, min(conv_id * 1000 + turn) % 1000 AS turn FROM conversations GROUP BY role)""")
+def speaker_first_seen(spark, sf):
+    speakers = d.turns(spark, sf).select("record_idx", F.col("turn_idx").alias("ordinal"), F.concat(F.lit(" "), "speaker", F.lit("\t")).alias("name"))
+    return transcript.first_appearance(speakers).withColumn("position", F.col("position").cast("long"))
+
+
+@query(f"WITH {d.TURNS_SQL} SELECT record_idx, session_no, turn_idx, dense_rank() OVER (ORDER BY record_idx, session_no) AS global_session FROM turns")
+def session_renumber(spark, sf):
+    return transcript.renumber_sessions(d.turns(spark, sf)).select("record_idx", "session_no", "turn_idx", "global_session")
+
+
+@query("""SELECT key, row_number() OVER (ORDER BY try_cast(key AS BIGINT) IS NULL, try_cast(key AS BIGINT), key) AS position FROM
+ (SELECT CASE WHEN conv_id % 3 = 0 THEN 'k' || CAST(conv_id AS VARCHAR) ELSE CAST(conv_id AS VARCHAR) END AS key FROM conversations GROUP BY conv_id)""")
+def mixed_key_order(spark, sf):
+    key = F.when(F.col("conv_id") % 3 == 0, F.concat(F.lit("k"), F.col("conv_id").cast("string"))).otherwise(F.col("conv_id").cast("string"))
+    keys = d.conversations(spark, sf).select("conv_id").distinct().select(key.alias("key"))
+    number = F.col("key").try_cast("double")
+    return ranking.global_rank(keys.withColumn("_n", number), "_n", ["key"], "position", start=1).drop("_n")
+
+
+EVIDENCE_SQL = f"""WITH {d.TURNS_SQL}, {d.QA_SQL}, evidence AS (
+ SELECT conv_id AS record_idx, qid, 'D' || CAST(conv_id AS VARCHAR) || ':' || CAST((turn + 1) % 4 AS VARCHAR) AS dia_id, NULL AS utterance FROM qa WHERE turn < 2
+ UNION ALL SELECT conv_id, qid, 'N/A', 'see session_' || CAST(turn + 1 AS VARCHAR) || '_date_time' FROM qa WHERE turn < 2)"""
+
+
+def _evidence(spark, sf):
+    qa = d.qa_items(spark, sf).where("turn < 2")
+    named = qa.select(F.col("conv_id").alias("record_idx"), "qid", F.concat(F.lit("D"), F.col("conv_id").cast("string"), F.lit(":"), ((F.col("turn") + 1) % 4).cast("string")).alias("dia_id"), F.lit(None).cast("string").alias("utterance"))
+    times = qa.select(F.col("conv_id").alias("record_idx"), "qid", F.lit("N/A").alias("dia_id"), F.concat(F.lit("see session_"), (F.col("turn") + 1).cast("string"), F.lit("_date_time")).alias("utterance"))
+    return named.unionByName(times)
+
+
+@query(f"""{EVIDENCE_SQL} SELECT k.qid, t.record_idx, t.turn_idx, CASE WHEN z.qid IS NULL THEN t.session_ts END AS session_ts FROM (SELECT DISTINCT record_idx, qid FROM evidence) k
+ JOIN turns t USING (record_idx) LEFT JOIN (SELECT DISTINCT qid, CAST(regexp_extract(utterance, 'session_(\\d+)_date_time', 1) AS INTEGER) AS s FROM evidence WHERE dia_id = 'N/A') z
+ ON z.qid = k.qid AND z.s = t.session_no WHERE NOT EXISTS (SELECT 1 FROM evidence e WHERE e.qid = k.qid AND e.dia_id = t.dia_id AND e.dia_id <> 'N/A')""")
+def transcript_without_evidence(spark, sf):
+    return transcript.without_evidence(d.turns(spark, sf), _evidence(spark, sf)).select("qid", "record_idx", "turn_idx", "session_ts")
+
+
+@query(f"""{EVIDENCE_SQL} SELECT e.qid, count(*) AS n_evidence, count(t.dia_id) AS n_found FROM evidence e LEFT JOIN turns t ON t.record_idx = e.record_idx AND t.dia_id = e.dia_id GROUP BY e.qid""")
+def evidence_turn_coverage(spark, sf):
+    turns = d.turns(spark, sf).select("record_idx", "dia_id", F.lit(True).alias("found"))
+    return _evidence(spark, sf).join(turns, ["record_idx", "dia_id"], "left").groupBy("qid").agg(F.count("*").alias("n_evidence"), F.count("found").alias("n_found"))
+
+
+# Evidence checks
+
+
+@query(f"WITH {d.VERSIONS_SQL} SELECT version, qid FROM versions WHERE check_result = 'right' AND NOT late_right")
+def sufficiency_filter(spark, sf):
+    return d.versions(spark, sf).where(q.sufficient(F.col("check_result"), F.col("ablation"))).select("version", "qid")
+
+
+@query(f"""WITH {d.RESPONSES_SQL}, judged AS (SELECT qid, round, CASE WHEN answer = response_option THEN 'right' ELSE 'wrong' END AS result, (qid + round) % 4 AS n_used FROM responses WHERE round <= 5),
+ stops AS (SELECT *, min(CASE WHEN result = 'wrong' OR n_used = 0 THEN round END) OVER (PARTITION BY qid ORDER BY round ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS s FROM judged)
+ SELECT qid, round, result FROM stops WHERE s IS NULL""")
+def ablation_stop(spark, sf):
+    rounds = d.blind_responses(spark, sf).select("qid", "round", "answer", F.col("response_option").alias("response"), ((F.col("qid") + F.col("round")) % 4).alias("n_used"))
+    return q.ablation_rounds(rounds).select("qid", "round", "result")
+
+
+@query(f"WITH {d.VERSIONS_SQL} SELECT version, coalesce(check_result, '') = 'right' AS pending, count(*) AS n FROM versions GROUP BY 1, 2")
+def evidence_pending_split(spark, sf):
+    rows = d.versions(spark, sf).withColumn("pending", F.coalesce("check_result", F.lit("")) == "right")
+    return rows.groupBy("version", "pending").agg(F.count("*").alias("n"))
+
+
+# Options
+
+
+SHUFFLE_SQL = f"""WITH {d.OPTIONS_SQL}, ae AS (SELECT *, list_filter(bodies, lambda o: o[1:2] <> 'F.') AS ae, list_filter(bodies, lambda o: o[1:2] = 'F.') AS f FROM items),
+ parts AS (SELECT qid, answer, question, ae, f, unnest(ae) AS o, generate_subscripts(ae, 1) - 1 AS i FROM ae),
+ ranked AS (SELECT *, substr(o, 4) AS body, row_number() OVER (PARTITION BY qid ORDER BY md5('s1|' || CAST(qid AS VARCHAR) || '|' || CAST(i AS VARCHAR)), i) AS r FROM parts),
+ mixed AS (SELECT qid, any_value(answer) AS answer, any_value(question) AS question, any_value(ae) AS ae, any_value(f) AS f,
+ list(substr('ABCDE', CAST(r AS INTEGER), 1) || '. ' || body ORDER BY r) AS lettered, list(body ORDER BY r) AS bodies FROM ranked WHERE r <= 5 GROUP BY qid),
+ keyed AS (SELECT *, CASE WHEN ascii(answer) - 64 <= len(ae) THEN substr(ae[ascii(answer) - 64], 4) ELSE answer END AS body FROM mixed),
+ done AS (SELECT *, list_concat(lettered, CASE WHEN len(f) > 0 THEN f ELSE ['{text.CANNOT_INFER}'] END) AS new_option,
+ CASE WHEN len(f) > 0 AND answer = 'F' THEN f[1] ELSE coalesce(lettered[list_position(bodies, body)], answer) END AS new_answer FROM keyed)"""
+
+
+def _shuffled(spark, sf):
+    return q.shuffle_options(d.option_items(spark, sf).withColumnRenamed("bodies", "option"), "s1")
+
+
+@query(f"{SHUFFLE_SQL} SELECT qid, array_to_string(new_option, '|') AS options, len(new_option) AS n_options FROM done")
+def option_shuffle(spark, sf):
+    return _shuffled(spark, sf).select("qid", F.array_join("new_option", "|").alias("options"), F.size("new_option").cast("long").alias("n_options"))
+
+
+@query(f"{SHUFFLE_SQL} SELECT qid, new_answer, md5(question || chr(10) || array_to_string(new_option, chr(10)) || chr(10) || '{text.INSTRUCTION}') AS rendered_md5 FROM done")
+def answer_remap(spark, sf):
+    return _shuffled(spark, sf).select("qid", "new_answer", F.md5(F.encode("rendered_question", "utf-8")).alias("rendered_md5"))
+
+
+BARE_SQL = """list_transform(range(0, len(bodies)), lambda i: CASE WHEN (qid + i) % 2 = 0 THEN bodies[i + 1] ELSE substr(bodies[i + 1], 4) END)"""
+
+
+def _bare(spark, sf):
+    return d.option_items(spark, sf).withColumn("option", F.transform("bodies", lambda o, i: F.when((F.col("qid") + i) % 2 == 0, o).otherwise(F.substr(o, F.lit(4)))))
+
+
+@query(f"""WITH {d.OPTIONS_SQL}, bare AS (SELECT qid, {BARE_SQL} AS o FROM items) SELECT qid, array_to_string(list_transform(range(0, len(o)), lambda i:
+ CASE WHEN o[i + 1][2:3] = '. ' THEN o[i + 1] ELSE chr(CAST(65 + i AS INTEGER)) || '. ' || o[i + 1] END), '|') AS lines FROM bare""")
+def option_lines(spark, sf):
+    return _bare(spark, sf).select("qid", F.array_join(text.option_lines(F.col("option")), "|").alias("lines"))
+
+
+@query(f"WITH {d.QA_SQL} SELECT qid, md5({strip_sql('question')}) AS stem_md5 FROM qa")
+def question_stem(spark, sf):
+    rows = d.option_items(spark, sf)
+    full = F.concat(F.col("question"), F.lit("\n"), F.array_join("bodies", "\n"), F.lit("\n" + text.INSTRUCTION))
+    full = F.when(F.col("qid") % 2 == 0, full).otherwise(F.concat("question", F.lit("\n\n" + text.STEM_MARKERS[1] + "\nA. x")))
+    return rows.select("qid", F.md5(F.encode(text.question_stem(full, F.col("bodies")), "utf-8")).alias("stem_md5"))
+
+
+# Text functions: edge strings and all turns
+
+
+EDGES = [
+    "(A)", "[b]", "AB", "(A)(B)", "Bad", "The answer is (D)", "answer depends", "x (A) y (C)", "<think>no (B)</think> C", '{"answer": "B"}', '{"final_answer": " (C) "}', '{"response": ""}', "Final Answer: D", "  Because",
+    "Error: timeout", "option c", "Option B is", "A. one", "b", "", "[A][B]", "F", "none of them", "```json\n{\"a\": 1}\n```", "junk {\"k\": \"it\\'s\"} tail", "choose: e", "a,b", "G",
+]
+
+
+def _values(rows: list[str]) -> str:
+    quote = lambda s: "'" + s.replace("'", "''") + "'"
+    return ", ".join(f"({i}, {quote(s)})" for i, s in enumerate(rows))
+
+
+STRINGS_SQL = f"strings AS (SELECT CAST(-1 - i AS BIGINT) AS id, s FROM (VALUES {_values(EDGES)}) AS e(i, s) UNION ALL SELECT conv_id * 100 + turn, text FROM conversations)"
+
+
+def _strings(spark, sf):
+    edges = spark.createDataFrame([(-1 - i, s) for i, s in enumerate(EDGES)], "id long, s string")
+    return edges.unionByName(d.conversations(spark, sf).select((F.col("conv_id") * 100 + F.col("turn")).alias("id"), F.col("text").alias("s")))
+
+
+@query(f"WITH {STRINGS_SQL} SELECT id, nullif(regexp_extract(s, '^\\s*([A-F])', 1), '') AS letter FROM strings")
+def option_letter(spark, sf):
+    return _strings(spark, sf).select("id", text.option_letter(F.col("s")).alias("letter"))
+
+
+@query(f"""WITH {STRINGS_SQL}, plain AS (SELECT id, regexp_replace(replace(s, chr(92) || chr(39), chr(39)), '```(?:json)?', '', 'g') AS s FROM strings)
+ SELECT id, md5({strip_sql("coalesce(nullif(regexp_extract(s, '(?s)[{].*[}]', 0), ''), s)")}) AS md5 FROM plain""")
+def clean_json(spark, sf):
+    return _strings(spark, sf).select("id", F.md5(F.encode(text.clean_json(F.col("s")), "utf-8")).alias("md5"))
+
+
+def after_sql(x: str, mark: str) -> str:
+    return f"CASE WHEN contains({x}, '{mark}') THEN {strip_sql(f'substr({x}, instr({x}, {chr(39)}{mark}{chr(39)}) + {len(mark)})')} ELSE {x} END"
+
+
+STRIPPED_SQL = f"""{STRINGS_SQL}, p1 AS (SELECT id, {strip_sql("s")} AS s FROM strings), p2 AS (SELECT id, {after_sql("s", "</think>")} AS s FROM p1), p3 AS (SELECT id, {after_sql("s", "Final Answer:")} AS s FROM p2),
+ p AS (SELECT id, CASE WHEN s[1:1] = '{{' AND json_valid(s) THEN coalesce({", ".join(f"nullif({strip_sql(f'json_extract_string(s, {chr(39)}$.{k}{chr(39)})')}, '')" for k in ("answer", "final_answer", "response"))}, s) ELSE s END AS s FROM p3)"""
+
+
+@query(f"WITH {STRIPPED_SQL} SELECT id, md5(s) AS md5 FROM p")
+def strip_prediction(spark, sf):
+    return _strings(spark, sf).select("id", F.md5(F.encode(text.strip_prediction(F.col("s")), "utf-8")).alias("md5"))
+
+
+@query(f"""WITH {STRINGS_SQL} SELECT id, md5(coalesce(list_filter(list_transform(string_split(s, chr(10)), lambda x: {strip_sql("x")}), lambda x: x <> '')[1], 'UNKNOWN_QUESTION')) AS md5 FROM strings""")
+def core_question(spark, sf):
+    odd = F.when(F.col("id") % 2 == 0, F.concat(F.lit("\n "), F.col("s"), F.lit("\n\nYou need to select one"))).otherwise(F.col("s"))
+    marked = F.when(text.strip(F.col("s")) == "", F.col("s")).otherwise(odd)
+    return _strings(spark, sf).select("id", F.md5(F.encode(text.core_question(marked), "utf-8")).alias("md5"))
+
+
+def letters_sql(x: str) -> str:
+    full, one = f"regexp_matches({x}, '^[A-Fa-f]{{1,5}}$')", f"regexp_matches({x}, '^[\\[(]?\\s*[A-Fa-f]\\s*[\\])]?$')"
+    lead, phrase = r"(?i)^(?:option\s*)?([A-F])(?:[\s\)\]\.:,-]|$)", r"(?i)(?:answer|final answer|correct answer|choose|pick|option)\s*(?:is|:)?\s*[\[(]?([A-Fa-f])[\])]?"
+    bad = f"regexp_matches({x}, '\\([A-Fa-f]\\)\\([A-Fa-f]\\)|\\[[A-Fa-f]\\]\\[[A-Fa-f]\\]')"
+    token = r"(?i)\(([A-F])\)|\[([A-F])\]|option\s+([A-F])\b"
+    return f"""CASE WHEN {x} = '' THEN '' WHEN {full} THEN array_to_string(list_sort(list_distinct(string_split(upper({x}), ''))), '') WHEN {one} THEN upper(regexp_extract({x}, '([A-Fa-f])', 1))
+ WHEN {bad} THEN '' WHEN regexp_matches({x}, '{lead}') THEN upper(regexp_extract({x}, '{lead}', 1)) WHEN regexp_matches({x}, '{phrase}') THEN upper(regexp_extract({x}, '{phrase}', 1))
+ ELSE array_to_string(list_sort(list_distinct(list_transform(regexp_extract_all({x}, '{token}', 0), lambda m: upper(regexp_extract(m, '([A-Fa-f])\\W*$', 1))))), '') END"""
+
+
+MALFORMED_SQL = """(NOT regexp_matches(s, '^[A-Fa-f]{1,5}$') AND NOT regexp_matches(s, '^[\\[(]?\\s*[A-Fa-f]\\s*[\\])]?$') AND regexp_matches(s, '\\([A-Fa-f]\\)\\([A-Fa-f]\\)|\\[[A-Fa-f]\\]\\[[A-Fa-f]\\]'))"""
+
+
+@query(f"WITH {STRIPPED_SQL} SELECT id, {letters_sql('s')} AS letters, {MALFORMED_SQL} AS malformed FROM p")
+def mcq_parse(spark, sf):
+    return _strings(spark, sf).select("id", F.array_join(mcq.predicted(F.col("s")), "").alias("letters"), mcq.malformed(F.col("s")).alias("malformed"))
+
+
+SCORED_SQL = f"""{STRIPPED_SQL}, pred AS (SELECT id, {letters_sql("s")} AS l, {MALFORMED_SQL} AS bad FROM p), keyed AS (SELECT *, substr('ABCDEF', CAST((id % 6 + 6) % 6 AS INTEGER) + 1, 1) AS k1, substr('ABCDEF', CAST((id % 5 + 5) % 5 AS INTEGER) + 1, 1) AS k2 FROM pred),
+ scored AS (SELECT id, CAST((id % 7 + 7) % 7 AS INTEGER) AS category, CASE WHEN NOT bad AND l IN (k1, k2) THEN 1.0 ELSE 0.0 END::DOUBLE AS mcq_score, l, CASE WHEN NOT bad AND l = k1 THEN k1 || '. first' WHEN NOT bad AND l = k2 THEN k2 END AS matched FROM keyed)"""
+
+
+def _scored(spark, sf):
+    rows = _strings(spark, sf)
+    first = d.letter(F.pmod("id", F.lit(6)))
+    fixed = F.array(F.concat(first, F.lit(". first")), F.lit(""), d.letter(F.pmod("id", F.lit(5))))
+    return rows.select("id", F.pmod("id", F.lit(7)).cast("int").alias("category"), mcq.score(fixed, F.lit(None).cast("string"), F.col("s")).alias("r")).select("id", "category", "r.*")
+
+
+@query(f"WITH {SCORED_SQL} SELECT id, mcq_score, l AS predicted, matched AS matched_answer FROM scored")
+def mcq_score(spark, sf):
+    return _scored(spark, sf).select("id", "mcq_score", F.array_join("predicted_options", "").alias("predicted"), "matched_answer")
+
+
+@query(f"""WITH {SCORED_SQL} SELECT CAST(category AS VARCHAR) AS category, count(*) AS n, round(avg(mcq_score), 9) AS mcq FROM scored GROUP BY category
+ UNION ALL SELECT 'ALL', count(*), round(avg(mcq_score), 9) FROM scored""")
+def mcq_summary(spark, sf):
+    return q.metrics_summary(_scored(spark, sf)).withColumn("mcq", F.round("mcq", 9))
+
+
+# Blind rounds
+
+
+BLIND_SQL = f"""WITH {d.RESPONSES_SQL}, stats AS (SELECT qid, count(*) FILTER (answer = response_option) AS correct_count, count(*) AS total_count FROM responses GROUP BY qid)"""
+
+
+def _blind(spark, sf):
+    scored = d.blind_responses(spark, sf).withColumn("score", q.round_score(F.col("answer"), F.col("response_option")))
+    return q.blind_accuracy(scored, ["qid"])
+
+
+@query(f"{BLIND_SQL} SELECT *, correct_count / total_count AS accuracy, CASE WHEN correct_count / total_count > 0.5 THEN 'suspected' ELSE 'good' END AS result FROM stats")
+def blind_accuracy(spark, sf):
+    return _blind(spark, sf)
+
+
+@query(f"WITH {d.RESPONSES_SQL} SELECT round, CAST(sum(CASE WHEN answer = response_option THEN 1 ELSE 0 END) AS BIGINT) AS correct, count(*) AS n FROM responses GROUP BY round")
+def blind_round_score(spark, sf):
+    scored = d.blind_responses(spark, sf).withColumn("score", q.round_score(F.col("answer"), F.col("response_option")))
+    return scored.groupBy("round").agg(F.sum("score").cast("long").alias("correct"), F.count("*").alias("n"))
+
+
+@query(f"{BLIND_SQL} SELECT qa.qid, category, s.correct_count, CASE WHEN s.qid IS NULL THEN NULL WHEN correct_count / total_count > 0.5 THEN 'suspected' ELSE 'good' END AS result FROM qa LEFT JOIN (SELECT * FROM stats WHERE qid % 3 <> 0) s USING (qid)")
+def blind_backfill(spark, sf):
+    return q.backfill(d.qa_items(spark, sf), _blind(spark, sf).where("qid % 3 <> 0"), ["qid"]).select("qid", "category", "correct_count", "result")
+
+
+# Losses and perturbations
+
+
+NLL_SQL = f"""{d.QA_SQL}, nll AS (SELECT qid, list_transform(range(0, CAST(qid % 23 AS INTEGER)), lambda i: CAST((qid * (i + 3)) % 101 AS DOUBLE) / 8) AS l FROM qa)"""
+
+
+def _nll(spark, sf):
+    n = (F.col("qid") % 23).cast("int")
+    values = F.transform(F.sequence(F.lit(0), F.greatest(n - 1, F.lit(0))), lambda i: ((F.col("qid") * (i + 3)) % 101).cast("double") / 8)
+    return d.qa_items(spark, sf).select("qid", F.when(n > 0, values).otherwise(F.array().cast("array<double>")).alias("nll"))
+
+
+@query(f"""WITH {NLL_SQL} SELECT qid, CAST(len(l) AS BIGINT) AS answer_len, round(CASE WHEN len(l) > 0 THEN list_avg(l) END, 9) AS avg_loss,
+ round(CASE WHEN len(l) > 0 THEN list_avg(list_reverse_sort(l)[1:greatest(1, CAST(floor(len(l) * 0.2) AS INTEGER))]) END, 9) AS mink_loss, round(CASE WHEN len(l) > 0 THEN exp(least(list_avg(l), 20)) END, 3) AS ppl FROM nll""")
+def min_k_loss(spark, sf):
+    rows = q.loss_columns(_nll(spark, sf))
+    return rows.select("qid", F.col("answer_len").cast("long").alias("answer_len"), F.round("avg_loss", 9).alias("avg_loss"), F.round("mink_loss", 9).alias("mink_loss"), F.round("ppl", 3).alias("ppl"))
+
+
+@query(f"WITH {d.LOSSES_SQL} SELECT qid, row_number() OVER (ORDER BY loss, qid) - 1 AS rank_by_loss FROM losses")
+def loss_rank(spark, sf):
+    return ranking.global_rank(d.losses(spark, sf), "loss", ["qid"], "rank_by_loss").select("qid", "rank_by_loss")
+
+
+GAPS_SQL = f"""{d.QA_SQL}, conf AS (SELECT qid, (qid % 17) / 4 AS o, (qid % 13) / 4 AS p, (qid % 7) / 4 AS b, CASE WHEN qid % 5 <> 0 THEN (qid % 7) / 4 END AS n FROM qa),
+ gaps AS (SELECT qid, o - p AS gap_para, o - b AS gap_bt, o - n AS gap_noise, greatest(o - p, o - b, o - n) AS gap FROM conf)"""
+
+
+def _gaps(spark, sf):
+    part = lambda m: (F.col("qid") % m).cast("double") / 4
+    rows = d.qa_items(spark, sf).select("qid", part(17).alias("conf_orig"), part(13).alias("conf_para"), part(7).alias("conf_bt"), F.when(F.col("qid") % 5 != 0, part(7)).alias("conf_noise"))
+    return q.gaps(rows)
+
+
+@query(f"WITH {GAPS_SQL} SELECT qid, gap_para, gap_bt, gap_noise, gap FROM gaps")
+def confidence_gap(spark, sf):
+    return _gaps(spark, sf).select("qid", "gap_para", "gap_bt", "gap_noise", "gap")
+
+
+BEST_SQL = "CASE WHEN gap_para >= gap_bt AND gap_para >= coalesce(gap_noise, -1e9) THEN 'para' WHEN gap_bt >= coalesce(gap_noise, -1e9) THEN 'bt' ELSE 'noise' END"
+
+
+@query(f"WITH {GAPS_SQL} SELECT qid, {BEST_SQL} AS best_type FROM gaps")
+def best_variant(spark, sf):
+    return _gaps(spark, sf).select("qid", "best_type")
+
+
+@query(f"WITH {GAPS_SQL} SELECT qid, row_number() OVER (ORDER BY gap DESC NULLS LAST, qid) AS challenge_rank FROM (SELECT qid, CASE WHEN qid % 9 <> 0 THEN gap END AS gap FROM gaps)")
+def challenge_order(spark, sf):
+    rows = _gaps(spark, sf).withColumn("gap", F.when(F.col("qid") % 9 != 0, F.col("gap")))
+    return q.challenge_rank(rows, "qid").select("qid", "challenge_rank")
+
+
+CURVE_SQL = f"""{d.LOSSES_SQL}, ranked AS (SELECT *, row_number() OVER (ORDER BY loss, qid) AS rk FROM losses), sizes AS (SELECT CAST(x AS INTEGER) AS x, (SELECT count(*) FROM losses WHERE k >= x) AS y FROM range(0, 11) t(x)),
+ hits AS (SELECT s.x, s.y, count(*) FILTER (r.k >= s.x AND r.rk <= s.y) AS i FROM sizes s, ranked r GROUP BY s.x, s.y), j AS (SELECT x, y, i, CASE WHEN y = 0 THEN 0 ELSE i / (2 * y - i) END AS jaccard FROM hits),
+ curve AS (SELECT x, y, jaccard, CASE WHEN y = 0 THEN 0 ELSE coalesce(jaccard - lag(jaccard) OVER (ORDER BY x), 0) END AS delta_j, CASE WHEN y = 0 THEN 0 ELSE i / y END AS overlap FROM j)"""
+
+
+def _curve(spark, sf):
+    return ranking.overlap_curve(d.losses(spark, sf), "qid", "k", "loss")
+
+
+@query(f"WITH {CURVE_SQL} SELECT x, y, jaccard, delta_j, overlap FROM curve")
+def overlap_curve(spark, sf):
+    return _curve(spark, sf)
+
+
+@query(f"WITH {CURVE_SQL} SELECT x AS best_x FROM curve WHERE x >= 2 ORDER BY delta_j DESC, x LIMIT 1")
+def best_threshold(spark, sf):
+    return ranking.best_threshold(_curve(spark, sf))
+
+
+# Refinement
+
+
+REMOVED_SQL = f"{d.QA_SQL}, gone AS (SELECT DISTINCT substr(question, 1, 40) AS q_text FROM qa WHERE qid % 29 = 0 AND length(question) > 0)"
+
+
+@query(f"WITH {REMOVED_SQL} SELECT qid FROM qa WHERE NOT EXISTS (SELECT 1 FROM gone WHERE contains(qa.question, q_text))")
+def remove_replaced(spark, sf):
+    qa = d.qa_items(spark, sf)
+    return q.remove_replaced(qa, qa.where("qid % 29 = 0").select(F.substring("question", 1, 40).alias("q_text"))).select("qid")
+
+
+REFINED_SQL = f"""{d.QA_SQL}, refined AS (SELECT conv_id AS refined_idx, character, CASE WHEN conv_id % 4 = 0 THEN 'In which session ' ELSE 'Why ' END || CAST(conv_id AS VARCHAR) AS question,
+ CASE conv_id % 3 WHEN 0 THEN 'memory_update' WHEN 1 THEN 'integrated_logic' ELSE 'other' END AS label, question AS original FROM qa WHERE turn = 0), new AS (SELECT * FROM refined WHERE NOT contains(question, 'session')),
+ kept AS (SELECT 0 AS part, qid AS o, character, question, NULL AS label FROM qa WHERE NOT contains(question, 'session') AND NOT EXISTS (SELECT 1 FROM new WHERE label = 'memory_update' AND contains(qa.question, original))),
+ merged AS (SELECT * FROM kept UNION ALL SELECT 1, refined_idx, character, question, CASE label WHEN 'memory_update' THEN '记忆更新' WHEN 'integrated_logic' THEN '事实提取（多对话）' ELSE label END FROM new)"""
+
+
+def _refined(spark, sf):
+    first = d.qa_items(spark, sf).where("turn = 0")
+    words = F.concat(F.when(F.col("conv_id") % 4 == 0, "In which session ").otherwise("Why "), F.col("conv_id").cast("string"))
+    label = F.when(F.col("conv_id") % 3 == 0, "memory_update").when(F.col("conv_id") % 3 == 1, "integrated_logic").otherwise("other")
+    return first.select(F.col("conv_id").alias("refined_idx"), "character", words.alias("question"), label.alias("label"), F.array("question").alias("original_qa"))
+
+
+@query(f"WITH {REFINED_SQL} SELECT character, md5(question) AS question_md5, label, row_number() OVER (ORDER BY part, o, question) AS new_qid FROM merged")
+def refine_merge(spark, sf):
+    merged = q.merge_refined(d.qa_items(spark, sf).withColumn("label", F.lit(None).cast("string")), _refined(spark, sf))
+    return merged.select("character", F.md5(F.encode("question", "utf-8")).alias("question_md5"), "label", "new_qid")
+
+
+@query(f"""WITH {d.QA_SQL}, best AS (SELECT question AS t, max_by('best ' || CAST(qid AS VARCHAR), qid) AS b FROM (SELECT {strip_sql("question")} AS question, qid FROM qa WHERE qid % 3 = 0) GROUP BY question)
+ SELECT qid, md5(coalesce(b, question)) AS question_md5, b IS NOT NULL AS replaced FROM qa LEFT JOIN best ON t = {strip_sql("question")}""")
+def replace_by_text(spark, sf):
+    qa = d.qa_items(spark, sf)
+    best = qa.where("qid % 3 = 0").select(F.col("question").alias("original_question"), F.concat(F.lit("best "), F.col("qid").cast("string")).alias("best_question"), F.col("qid").alias("pos"))
+    return q.replace_by_text(qa, best).select("qid", F.md5(F.encode("question", "utf-8")).alias("question_md5"), "replaced")
+
+
+@query(f"WITH {d.QA_SQL} SELECT conv_id, turn, CASE WHEN qid % 4 = 0 THEN qid ELSE row_number() OVER (PARTITION BY qid % 4 = 0 ORDER BY conv_id, turn) END AS qid FROM qa")
+def qid_reassign(spark, sf):
+    qa = d.qa_items(spark, sf).select("conv_id", "turn", F.when(F.col("qid") % 4 == 0, F.col("qid")).alias("qid"))
+    return q.assign_missing_qids(qa, ["conv_id", "turn"])
+
+
+@query(f"WITH {REFINED_SQL} SELECT refined_idx, CASE label WHEN 'memory_update' THEN '记忆更新' WHEN 'integrated_logic' THEN '事实提取（多对话）' ELSE label END AS label FROM refined")
+def label_map(spark, sf):
+    return _refined(spark, sf).select("refined_idx", text.map_label(F.col("label")).alias("label"))
+
+
+SIX_SQL = " || ' ' || ".join(f"'{i}:' || CAST(count(*) FILTER (category = {i}) AS VARCHAR)" for i in range(1, 7))
+
+
+@query(f"WITH {d.QA_SQL} SELECT character, count(*) AS n, {SIX_SQL} AS category_counts FROM qa WHERE coalesce(character, '') <> 'Unknown' GROUP BY character HAVING count(*) >= 2")
+def character_groups(spark, sf):
+    return q.character_groups(d.qa_items(spark, sf))
+
+
+@query(f"WITH {d.QA_SQL} SELECT conv_id, {SIX_SQL} AS counts FROM qa GROUP BY conv_id")
+def category_counts_1_to_6(spark, sf):
+    counts = d.qa_items(spark, sf).groupBy("conv_id").agg(*[F.count_if(F.col("category") == i).alias(f"c{i}") for i in range(1, 7)])
+    return counts.select("conv_id", q.category_text([F.col(f"c{i}") for i in range(1, 7)]).alias("counts"))
+
+
+# Versions
+
+
+INCLUDED_SQL = "NOT (version <> 'v0' AND coalesce(check_result, '') <> 'right') AND NOT (version IN ('v2', 'v3', 'v4') AND late_right)"
+
+
+@query(f"WITH {d.VERSIONS_SQL} SELECT version, script, CAST(category AS VARCHAR) AS category, count(*) AS n FROM versions WHERE {INCLUDED_SQL} GROUP BY ALL")
+def version_category_counts(spark, sf):
+    return q.version_counts(d.versions(spark, sf), "category")
+
+
+@query(f"WITH {d.VERSIONS_SQL} SELECT version, script, label, count(*) AS n FROM versions WHERE {INCLUDED_SQL} AND label <> '' GROUP BY ALL")
+def version_label_counts(spark, sf):
+    return q.version_counts(d.versions(spark, sf), "label")
+
+
+REASON_SQL = "CASE WHEN version <> 'v0' AND coalesce(check_result, '') <> 'right' THEN 'only_evidence_check.result=' || coalesce(check_result, 'N/A') ELSE 'iterative_evidence_ablation round=5 result=right' END"
+
+
+@query(f"WITH {d.VERSIONS_SQL} SELECT version, qid, {REASON_SQL} AS exclusion_reason FROM versions WHERE NOT ({INCLUDED_SQL})")
+def excluded_reasons(spark, sf):
+    return q.excluded(d.versions(spark, sf)).select("version", "qid", "exclusion_reason")
+
+
+@query(f"""WITH {d.VERSIONS_SQL}, gone AS (SELECT *, min(version) OVER (PARTITION BY script, question, character) AS f FROM versions WHERE NOT ({INCLUDED_SQL})) SELECT version, qid FROM gone WHERE version = f""")
+def incremental_exclusions(spark, sf):
+    return q.incremental(q.excluded(d.versions(spark, sf)), ["script", "question", "character"], "version").select("version", "qid")
+
+
+PIVOT_CELLS = ", ".join(f"CASE WHEN bool_or(have{i}) THEN CAST(coalesce(sum(n) FILTER (script = 'script{i}'), 0) AS BIGINT) END AS script{i}" for i in range(3))
+HAVE_SQL = ", ".join(f"count(*) FILTER (script = 'script{i}') OVER (PARTITION BY version) > 0 AS have{i}" for i in range(3))
+
+
+@query(f"""WITH {d.VERSIONS_SQL}, counts AS (SELECT version, script, CAST(category AS VARCHAR) AS category, count(*) AS n FROM versions WHERE {INCLUDED_SQL} AND NOT (version = 'v3' AND script = 'script1') GROUP BY ALL),
+ marked AS (SELECT *, {HAVE_SQL} FROM counts) SELECT version, category, {PIVOT_CELLS}, CAST(sum(n) AS BIGINT) AS sum FROM marked GROUP BY version, category""")
+def stats_pivot(spark, sf):
+    counts = q.version_counts(d.versions(spark, sf).where("NOT (version = 'v3' AND script = 'script1')"), "category")
+    return q.stats_pivot(counts, [f"script{i}" for i in range(3)])
+
+
+@query(f"WITH {d.QA_SQL} SELECT category, qid, CAST(pick AS INTEGER) AS pick FROM (SELECT category, qid, row_number() OVER (PARTITION BY category ORDER BY md5('7|' || CAST(qid AS VARCHAR)), qid) AS pick FROM qa) WHERE pick <= 2")
+def stratified_sample(spark, sf):
+    key = F.md5(F.concat_ws("|", F.lit("7"), F.col("qid").cast("string")).cast("binary"))
+    return ranking.stratified_sample(d.qa_items(spark, sf), "category", list(range(1, 7)), 2, key, "qid").select("category", "qid", "pick")
+
+
+# Nested layouts
+
+
+@query(f"WITH {d.QA_SQL} SELECT CAST(dense_rank() OVER (ORDER BY conv_id) - 1 AS BIGINT) AS outer_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS inner_id, answer, category FROM qa")
+def qa_flatten(spark, sf):
+    blocks = d.qa_items(spark, sf).groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("turn", "question", "answer", "category"))).alias("qa"))
+    numbered = ranking.global_rank(blocks, "conv_id", ["conv_id"], "outer_id")
+    return nested.flatten_qa(numbered, "outer_id", "qa").select("outer_id", F.col("inner_id").cast("long").alias("inner_id"), "answer", "category")
+
+
+@query(f"WITH {d.QA_SQL} SELECT CAST(conv_id AS VARCHAR) AS conv_key, row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS question_idx, answer FROM qa")
+def result_flatten(spark, sf):
+    item = F.to_json(F.struct("question", "answer", "category"))
+    lists = d.qa_items(spark, sf).groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("turn", item.alias("json")))).alias("rows"))
+    array = F.concat(F.lit("["), F.array_join(F.transform("rows", lambda r: r["json"]), ","), F.lit("]"))
+    body = F.when(F.col("conv_id") % 2 == 0, array).otherwise(F.concat(F.lit('{"qa":'), array, F.lit("}")))
+    document = lists.select(F.concat(F.lit('{"'), F.col("conv_id").cast("string"), F.lit('":'), body, F.lit("}")).alias("value"))
+    return nested.result_entries(document, "value").select("conv_key", F.col("question_idx").cast("long").alias("question_idx"), F.get_json_object("item", "$.answer").alias("answer"))
+
+
+@query(f"WITH {d.QA_SQL} SELECT conv_id, count(*) AS n_questions, CAST(sum(qid) AS BIGINT) AS qids FROM qa GROUP BY conv_id")
+def json_container_load(spark, sf):
+    item = F.to_json(F.struct("qid", "answer"))
+    rows = d.qa_items(spark, sf).groupBy("conv_id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("turn", item.alias("j")))), lambda r: r["j"]), ",").alias("items"))
+    record = F.concat(F.lit('{"conversation":{},"filename":"'), F.col("conv_id").cast("string"), F.lit('","qa":['), "items", F.lit("]}"))
+    shaped = rows.select(F.when(F.col("conv_id") % 3 == 0, record).when(F.col("conv_id") % 3 == 1, F.concat(F.lit("["), record, F.lit("]"))).otherwise(F.concat(F.lit('{"2":'), record, F.lit("}"))).alias("value"))
+    records = nested.records_of(shaped, "value").select(F.get_json_object("record", "$.filename").cast("long").alias("conv_id"), nested.qa_list(F.get_json_object("record", "$.qa")).alias("qa"))
+    return records.select("conv_id", F.explode("qa").alias("i")).groupBy("conv_id").agg(F.count("*").alias("n_questions"), F.sum(F.get_json_object("i", "$.qid").cast("long")).alias("qids"))
+
+
+@query(f"WITH {d.RESPONSES_SQL} SELECT qa.qid, r.response_option AS response, CASE WHEN r.qid IS NULL THEN 'missing' ELSE 'recorded' END AS status FROM qa LEFT JOIN responses r ON r.qid = qa.qid AND r.round = 1 AND qa.qid % 7 <> 0")
+def provider_recorded_join(spark, sf):
+    requests = d.qa_items(spark, sf).select(F.lit("blind").alias("step"), "qid", F.lit(1).alias("round"))
+    table = d.blind_responses(spark, sf).where("qid % 7 <> 0").select(F.lit("blind").alias("step"), "qid", "round", F.col("response_option").alias("response"))
+    return recorded(requests, table).select("qid", "response", "status")
+
+
+@query()
+def running_blind_accuracy(spark, sf):
+    """The streaming form of blind_accuracy over the conversation files: rows only, for it needs a query run."""
+    return stream.run_once(spark, sf)
