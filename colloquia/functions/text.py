@@ -50,7 +50,7 @@ def json_array(c: Column) -> Column:
 def strict_json_object(c: Column) -> Column:
     """The text without code fences at its ends if it is a JSON object, else null."""
     bare = strip(F.regexp_replace(strip(c), r"^```(?:json)?\s*|\s*```$", ""))
-    return F.when(F.try_parse_json(bare).isNotNull() & bare.startswith("{"), bare)
+    return F.when(F.try_parse_json(bare).isNotNull() & bare.startswith("{") & bare.endswith("}"), bare)
 
 
 def after_first(c: Column, mark: str) -> Column:
@@ -61,7 +61,7 @@ def strip_prediction(c: Column) -> Column:
     """The answer part of a response: after the think tag, after the final-answer mark, out of a JSON object."""
     def of(text: Column) -> Column:
         found = [F.when(F.schema_of_variant(F.variant_get(F.try_parse_json(text), f"$.{k}", "variant")) == "STRING", null_if_empty(strip(F.get_json_object(text, f"$.{k}")))) for k in ("answer", "final_answer", "response")]
-        return F.when(text.startswith("{"), F.coalesce(*found, text)).otherwise(text)
+        return F.when(text.startswith("{") & text.endswith("}"), F.coalesce(*found, text)).otherwise(text)
 
     return let(after_first(after_first(strip(F.coalesce(c, F.lit(""))), THINK_END), FINAL_ANSWER), of)
 

@@ -54,13 +54,15 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_json_or_lines(spark: SparkSession, path: str) -> DataFrame:
-    """(file, value): whole documents where a file is one, else its lines."""
-    whole = read_documents(spark, path)
-    parsed = whole.withColumn("_ok", F.try_parse_json("value").isNotNull())
-    one = parsed.where("_ok").select("file", F.explode(F.when(first_char(F.col("value")) == "[", F.from_json("value", "array<string>")).otherwise(F.array("value"))).alias("value"))
-    lines = parsed.where("NOT _ok").select("file", F.explode(F.split("value", "\\r?\\n")).alias("value")).where(F.length(F.trim("value")) > 0)
-    flat = lines.select("file", F.explode(F.when(first_char(F.col("value")) == "[", F.from_json("value", "array<string>")).otherwise(F.array("value"))).alias("value"))
-    return one.unionByName(flat)
+    """(file, value): the objects of each file, which is one JSON document or JSON Lines.
+
+    A file is Lines if its first line is JSON by itself and is not its only one.
+    """
+    lines = F.filter(F.split("value", "\\r?\\n"), lambda x: F.trim(x) != "")
+    parts = read_documents(spark, path).select("file", "value", lines.alias("_l"))
+    split = (F.size("_l") > 1) & F.try_parse_json(F.get("_l", F.lit(0))).isNotNull()
+    values = parts.select("file", F.explode(F.when(split, F.col("_l")).otherwise(F.array("value"))).alias("value"))
+    return values.select("file", F.explode(F.when(first_char(F.col("value")) == "[", F.from_json("value", "array<string>")).otherwise(F.array("value"))).alias("value"))
 
 
 def qa_list(json: Column) -> Column:
