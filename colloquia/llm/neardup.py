@@ -8,7 +8,8 @@ Points of unlike texts of one length lie close together in every coordinate, so
 whole corpus prune next to nothing (figures in the README). The trees are therefore built
 within blocks of sets that agree on a few least hashes; a linked pair shares no block with a
 probability below 1e-10. Equal sets are one node throughout. Within a block all nodes are first
-tried against one leader; only nodes of different components are compared further.
+tried against one leader, then components against the largest one; only nodes of components
+that are still apart are compared further, all with all.
 """
 
 from __future__ import annotations
@@ -26,13 +27,18 @@ from .components import components
 from .grams import WordHashes, mix, windows
 
 
+#: Largest count that a coordinate can hold.
+FULL = 0xFFFF
+
+
 @dataclass(frozen=True)
 class JaccardParams:
     shingle: int = 4
     percent: int = 85  # two sets link when 100 * intersection >= percent * union
-    groups: int = 64  # coordinates of a point
+    groups: int = 256  # coordinates of a point
     bands: int = 32
     rows: int = 4  # least hashes per band
+    star_rounds: int = 3  # tries of each block's components against one of them, before all pairs
     block: int = 4096  # points that one tree holds; larger blocks are split into pairs of parts
     broadcast_ids: int = 50_000  # sets to fetch up to this count are broadcast as ids; beyond, texts are joined by a shuffle
 
@@ -66,7 +72,8 @@ class Signer:
         self.salt = rng.integers(0, 2**63, params.bands, np.uint64)
 
     def counts(self, s: np.ndarray) -> np.ndarray:
-        return np.bincount((s >> np.uint64(17)).astype(np.int64) % self.p.groups, minlength=self.p.groups).astype(np.uint32)
+        counts = np.bincount((s >> np.uint64(17)).astype(np.int64) % self.p.groups, minlength=self.p.groups)
+        return np.minimum(counts, FULL).astype(np.uint16)
 
     def digest(self, s: np.ndarray) -> tuple[int, int]:
         """Two 64-bit sums that name the set."""
@@ -190,7 +197,10 @@ def block_pairs(ids: np.ndarray, comp: np.ndarray, sizes: np.ndarray, points: np
 
 
 def _points(column: pa.Array, groups: int) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), np.uint32).reshape(-1, groups).astype(np.int64)
+    """Counts by row; a full one stands for any number."""
+    counts = np.frombuffer(b"".join(column.to_pylist()), np.uint16).reshape(-1, groups).astype(np.int64)
+    counts[counts == FULL] = 1 << 40
+    return counts
 
 
 def bounded(pairs: DataFrame, nodes: DataFrame, p: JaccardParams) -> DataFrame:
@@ -241,10 +251,22 @@ def verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, p: JaccardPara
     return both.where((100 + p.percent) * shared >= p.percent * (F.size("x") + F.size("y"))).select("u", "v")
 
 
+def labelled(blocks: DataFrame, stars: DataFrame) -> DataFrame:
+    """Blocks (band, id) with the component of each id."""
+    return blocks.join(stars.select(F.col("u").alias("id"), F.col("v").alias("comp")), "id", "left").withColumn("comp", F.coalesce("comp", "id"))
+
+
+def component_stars(blocks: DataFrame, stars: DataFrame, salt: int) -> DataFrame:
+    """Pairs (u, v) of one node of each component of a block with one of its largest component."""
+    comps = labelled(blocks, stars).groupBy("band", "comp").agg(F.count("*").alias("n"), F.min_by("id", F.xxhash64("id", F.lit(salt))).alias("node"))
+    largest = comps.groupBy("band").agg(F.max_by(F.struct("comp", "node"), F.struct("n", "node")).alias("top"), F.count("*").alias("m")).where("m > 1")
+    pairs = comps.join(largest.select("band", F.col("top.comp").alias("c"), F.col("top.node").alias("x")), "band").where("comp != c")
+    return pairs.select(F.least("node", "x").alias("u"), F.greatest("node", "x").alias("v")).distinct()
+
+
 def mixed_blocks(blocks: DataFrame, nodes: DataFrame, stars: DataFrame, p: JaccardParams) -> DataFrame:
     """Pairs (u, v) of different components within blocks, through trees over their points."""
-    comp = blocks.join(stars.select(F.col("u").alias("id"), F.col("v").alias("comp")), "id", "left").withColumn("comp", F.coalesce("comp", "id"))
-    comp = comp.join(nodes.select("id", "n", "counts"), "id")
+    comp = labelled(blocks, stars).join(nodes.select("id", "n", "counts"), "id")
     several = comp.groupBy("band").agg(F.min("comp").alias("a"), F.max("comp").alias("z"), F.count("*").alias("m")).where("a < z")
     parts = F.ceil(F.col("m") / p.block).cast("int")
     dealt = comp.join(several.select("band", parts.alias("parts")), "band").withColumn("own", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int"))
@@ -294,12 +316,15 @@ def link_components(docs: DataFrame, params: JaccardParams = JaccardParams(), te
     nodes = signed.where("n > 0").groupBy(*name).agg(F.min("k").alias("k"), F.first("bands").alias("bands"), F.first("counts").alias("counts"))
     nodes = written(nodes.withColumn("id", F.monotonically_increasing_id()))
     bands = nodes.select("id", F.explode("bands").alias("band"))
-    leader = F.min_by("id", F.xxhash64(F.col("id"), F.pmod("band", F.lit(4))))
-    led = bands.groupBy("band").agg(F.count("*").alias("m"), leader.alias("leader")).where("m > 1").drop("m")
+    led = bands.groupBy("band").agg(F.count("*").alias("m"), F.min_by("id", F.xxhash64("id")).alias("leader")).where("m > 1").drop("m")
     blocks = written(bands.join(led, "band"))
     tried = written(blocks.where("id != leader").select(F.least("id", "leader").alias("u"), F.greatest("id", "leader").alias("v")).distinct())
-    stars = components(verified(tried, nodes, keyed, p))
-    more = mixed_blocks(blocks.drop("leader"), nodes, stars, p).join(tried, ["u", "v"], "left_anti")
+    blocks, stars = blocks.drop("leader"), components(verified(tried, nodes, keyed, p))
+    for salt in range(1, p.star_rounds):
+        new = written(component_stars(blocks, stars, salt).join(tried, ["u", "v"], "left_anti"))
+        stars = components(stars.unionByName(verified(new, nodes, keyed, p)))
+        tried = tried.unionByName(new)
+    more = mixed_blocks(blocks, nodes, stars, p).join(tried, ["u", "v"], "left_anti")
     links = written(verified(more, nodes, keyed, p))
     if not links.isEmpty():
         stars = components(stars.unionByName(links))
