@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import bpe, chat, decontaminate, language, neardup, pii, quality, secrets, substrings, urls
-from .common import let, table
+from .common import table
+from .oracles import ORACLES  # noqa: F401
 
 
 def sha(text: Column) -> Column:
@@ -119,4 +120,3 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_substring_dedup": op9_substring_dedup,
     "op10_byte_bpe": op10_byte_bpe,
 }
-ORACLES: dict[str, str] = {}
