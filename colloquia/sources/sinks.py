@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import os
+import tempfile
+import uuid
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -10,6 +12,18 @@ from pyspark.sql import functions as F
 KEEP_NULLS = {"ignoreNullFields": "false"}
 
 
+def staged(df: DataFrame) -> DataFrame:
+    """Write a table to the folder in spark.checkpoint.dir and read it again; a temporary folder where none is set (tests)."""
+    spark = df.sparkSession
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        root = tempfile.mkdtemp(prefix="colloquia-")
+        spark.conf.set("spark.checkpoint.dir", root)
+    path = f"{root.rstrip('/')}/colloquia/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def write_version(df: DataFrame, path: str, version: str) -> None:
     """One version of a table, replaced as a whole, beside the others."""
     df.write.mode("overwrite").parquet(f"{path.rstrip('/')}/version={version}")
