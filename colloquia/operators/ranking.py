@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import NumericType
 
 #: Range buckets of a global rank; the offset table has as many rows.
 BUCKETS = 64
@@ -13,18 +14,27 @@ def global_rank(df: DataFrame, by: str, ties: list[str], out: str = "rank", star
     """Position of each row by ``by`` ascending, then ``ties``, without one task that sees all rows.
 
     Values are cut at approximate quantiles; rows are numbered within a bucket and moved by the
-    rows of the buckets before. Nulls come last. The offsets are as many as the buckets.
+    rows of the buckets before. A value that fills several quantiles is cut again at quantiles of
+    the first tie column, if that is a number. Nulls come last. The cuts, and so the offsets, are
+    bounded by ``buckets`` squared.
     """
-    marks = df.select(F.percentile_approx(by, [i / buckets for i in range(1, buckets)], 10_000)).first()[0] or []
-    bounds = F.array(*[F.lit(x) for x in sorted(set(marks))]) if marks else F.array().cast("array<double>")
-    bucket = F.when(F.col(by).isNull(), F.lit(buckets + 1)).otherwise(F.size(F.filter(bounds, lambda b: b < F.col(by))))
+    cuts = [i / buckets for i in range(1, buckets)]
+    marks = df.select(F.percentile_approx(by, cuts, 10_000)).first()[0] or []
+    bounds = sorted(set(marks))
+    heavy = [v for v in bounds if marks.count(v) > 1] if ties and isinstance(df.schema[ties[0]].dataType, NumericType) else []
+    below = lambda values, c: F.size(F.filter(F.array(*map(F.lit, values)), lambda b: b < c)) if values else F.lit(0)
+    part = F.lit(0)
+    if heavy:
+        row = df.agg(*[F.percentile_approx(F.when(F.col(by) == v, F.col(ties[0])), cuts).alias(f"v{i}") for i, v in enumerate(heavy)]).first()
+        for i, v in enumerate(heavy):
+            part = F.when(F.col(by) == v, 1 + below(sorted(set(row[i] or [])), F.col(ties[0]))).otherwise(part)
+    bucket = F.when(F.col(by).isNull(), F.lit((buckets + 1) ** 2)).otherwise(below(bounds, F.col(by)) * (buckets + 1) + part)
     dealt = df.withColumn("_bucket", bucket)
-    counts = dealt.groupBy("_bucket").agg(F.count("*").alias("_n")).collect()  # buckets + 1 rows at most
-    before, total = {}, 0
-    for row in sorted(counts, key=lambda r: r["_bucket"]):
-        before[row["_bucket"]] = total
+    before, total = [], 0
+    for row in dealt.groupBy("_bucket").agg(F.count("*").alias("_n")).orderBy("_bucket").collect():
+        before += [F.lit(row["_bucket"]), F.lit(total)]
         total += row["_n"]
-    offset = F.coalesce(*[F.when(F.col("_bucket") == b, F.lit(n)) for b, n in before.items()], F.lit(0)) if before else F.lit(0)
+    offset = F.try_element_at(F.create_map(*before), F.col("_bucket")) if before else F.lit(0)
     own = F.row_number().over(Window.partitionBy("_bucket").orderBy(F.col(by).asc_nulls_last(), *ties))
     return dealt.withColumn(out, (own + offset + (start - 1)).cast("long")).drop("_bucket")
 

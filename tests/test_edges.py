@@ -132,6 +132,8 @@ def test_global_rank_with_ties(spark):
     got = {r.i: r.rank for r in ranking.global_rank(spark.createDataFrame(rows, "i int, v double"), "v", ["i"], buckets=7).collect()}
     order = sorted(rows, key=lambda r: (r[1] is None, r[1] or 0, r[0]))
     assert got == {i: n for n, (i, _) in enumerate(order)}
+    same = ranking.global_rank(spark.createDataFrame([(i, 1.0) for i in range(300)], "i int, v double"), "v", ["i"], buckets=8)
+    assert all(r.i == r.rank for r in same.collect())
     assert ranking.global_rank(spark.createDataFrame([], "i int, v double"), "v", ["i"]).count() == 0
 
 
