@@ -24,6 +24,8 @@ from .common import fresh
 
 #: Pieces whose ids a worker remembers, in each of two generations.
 MEMO = 200_000
+#: Prefix tables that a worker keeps for pieces to start from, and their lengths in bytes, longest first.
+PREFIXES, PREFIX_BYTES = 300_000, (8, 6, 4)
 #: Token pairs whose verdict a worker remembers; starts anew when full.
 PAIRS = 400_000
 #: Bytes of text that one Arrow slice gathers at least before it is passed on.
@@ -81,6 +83,7 @@ class Encoder:
         self.v = vocabulary
         self.longest = max(map(len, vocabulary.ranks))
         self.pairs: dict[int, bool] = {}
+        self.prefixes: dict[bytes, list[int]] = {}
         self.reach: dict[bytes, int] = {}  # longest token that ends with these three bytes
         for token in vocabulary.ranks:
             self.reach[token[-3:]] = max(len(token), self.reach.get(token[-3:], 2))
@@ -144,7 +147,17 @@ class Encoder:
         if whole is not None:
             return [whole]
         last: list[int] = []
+        for size in PREFIX_BYTES:
+            if size < len(piece) and (known := self.prefixes.get(piece[:size])) is not None:
+                last = known[:]
+                break
+        had = len(last)
         self.extend(piece, last, len(piece))
+        if len(self.prefixes) >= PREFIXES:
+            self.prefixes.clear()
+        for size in PREFIX_BYTES:
+            if had < size < len(piece):
+                self.prefixes[piece[:size]] = last[:size]
         return self.read(last)
 
 
