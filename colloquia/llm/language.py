@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import unicodedata
 from dataclasses import dataclass
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -41,6 +42,7 @@ class LanguageModel:
     false_rate: np.ndarray
 
 
+@cache
 def _letters() -> np.ndarray:
     """Of each code point: itself in lower case if a letter, else a space."""
     table = np.full(0x110000, 32, np.uint32)
