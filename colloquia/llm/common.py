@@ -55,3 +55,10 @@ def written(df: DataFrame) -> DataFrame:
     path = f"{checkpoint_dir(df.sparkSession).rstrip('/')}/colloquia/{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def drop_written(spark: SparkSession) -> None:
+    """Remove all tables that ``written`` left in the shared folder; call it once their results are stored elsewhere."""
+    jvm = spark._jvm
+    path = jvm.org.apache.hadoop.fs.Path(f"{checkpoint_dir(spark).rstrip('/')}/colloquia")
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

@@ -5,7 +5,7 @@ from __future__ import annotations
 import numpy as np
 
 #: Words whose hashes a worker remembers; the memo starts anew when full.
-MEMO = 400_000
+MEMO = 250_000
 
 
 class WordHashes(dict):

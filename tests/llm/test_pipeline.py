@@ -1,7 +1,7 @@
 """The corpus pipeline against the brute-force versions of its stages."""
 
 import corpus_pipeline as cp
-from colloquia.llm import bpe, pii, queries
+from colloquia.llm import bpe, common, pii, queries
 
 from .test_leaks import grams, plain as plain_leaks, words
 from .test_neardup import plain as plain_links
@@ -41,3 +41,10 @@ def test_stages_keep_columns_and_edges(spark):
         assert stage(spark, docs.where("false"), "/root/testdata/sf0.001").count() == 0
     assert cp.token_stage(spark, docs, "").count() == docs.count()
     assert bpe.MEMO
+
+
+def test_written_tables_can_be_dropped(spark):
+    kept = common.written(spark.range(3).toDF("id"))
+    assert kept.count() == 3
+    common.drop_written(spark)
+    common.drop_written(spark)
