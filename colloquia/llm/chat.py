@@ -7,8 +7,6 @@ Windows and one aggregation share a single shuffle by conversation.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -119,7 +117,3 @@ def masked_texts(turns: Column, mask: Column) -> Column:
         return F.when(span["loss"], unescape(F.substr(turn["line"], (span["text_start"] - span["turn_start"] + 1).cast("int"), (span["text_end"] - span["text_start"]).cast("int"))))
 
     return F.array_compact(F.transform(turns, cut))
-
-
-def concat_all(parts: list[DataFrame]) -> DataFrame:
-    return reduce(DataFrame.unionByName, parts)

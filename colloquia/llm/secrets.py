@@ -8,7 +8,6 @@ candidates are matched by the rule itself. Rules without a mandatory trigram sca
 
 from __future__ import annotations
 
-import re
 from dataclasses import dataclass
 from re import _constants as C
 from re import _parser as P
@@ -206,13 +205,3 @@ def scan_secrets(docs: DataFrame, rules: tuple[SecretRule, ...] = RULES, text: s
 
 def joined(spans: Column) -> Column:
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
-
-
-def base_matches(pattern_rules: tuple[SecretRule, ...], text: str) -> list[tuple[int, int, str, int]]:
-    """Plain restatement for tests: (start, rule order, kind, end)."""
-    out = []
-    for order, rule in enumerate(pattern_rules):
-        for m in re.finditer(rule.pattern, text):
-            if not rule.min_chars or len(m[1]) >= rule.min_chars:
-                out.append((m.start(), order, rule.kind, m.end()))
-    return sorted(out)
