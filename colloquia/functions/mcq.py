@@ -7,9 +7,14 @@ from pyspark.sql import functions as F
 
 from .text import let, strip, strip_prediction
 
-BOUNDARY = r"(?:[\s\)\]\.:,-]|$)"
+#: Patterns of the answer rules, in the order in which they are tried.
+ONLY_LETTERS = r"^[A-Fa-f]{1,5}$"
+ONE_LETTER = r"^[\[(]?\s*[A-Fa-f]\s*[\])]?$"
+TWO_BRACKETED = r"\([A-Fa-f]\)\([A-Fa-f]\)|\[[A-Fa-f]\]\[[A-Fa-f]\]"
+LEADING = r"(?i)^(?:option\s*)?([A-F])(?:[\s\)\]\.:,-]|$)"
 PHRASE = r"(?i)(?:answer|final answer|correct answer|choose|pick|option)\s*(?:is|:)?\s*[\[(]?([A-Fa-f])[\])]?"
 TOKEN = r"(?i)\(([A-F])\)|\[([A-F])\]|option\s+([A-F])\b"
+KEY_LEADING = r"(?i)^([A-F])(?:[\s\)\]\.:,-]|$)"
 
 
 def letters(c: Column) -> Column:
@@ -21,23 +26,26 @@ def none() -> Column:
     return F.array().cast("array<string>")
 
 
+def holds(text: Column, pattern: str) -> Column:
+    return F.regexp_like(text, F.lit(pattern))
+
+
 def is_malformed(compact: Column) -> Column:
     """Two bracketed letters side by side, where no earlier rule holds."""
-    earlier = F.regexp_like(compact, F.lit(r"^[A-Fa-f]{1,5}$")) | F.regexp_like(compact, F.lit(r"^[\[(]?\s*[A-Fa-f]\s*[\])]?$"))
-    return ~earlier & F.regexp_like(compact, F.lit(r"\([A-Fa-f]\)\([A-Fa-f]\)|\[[A-Fa-f]\]\[[A-Fa-f]\]"))
+    return ~(holds(compact, ONLY_LETTERS) | holds(compact, ONE_LETTER)) & holds(compact, TWO_BRACKETED)
 
 
 def parse_compact(compact: Column) -> Column:
     """Letters that a stripped response names; the first rule that holds decides."""
-    one = lambda pattern, group: F.array(F.upper(F.regexp_extract(compact, pattern, group)))
+    one = lambda pattern: F.array(F.upper(F.regexp_extract(compact, pattern, 1)))
     tokens = F.transform(F.regexp_extract_all(compact, F.lit(TOKEN), F.lit(0)), lambda m: F.upper(F.regexp_extract(m, r"([A-Fa-f])\W*$", 1)))
     return (
         F.when(compact == "", none())
-        .when(F.regexp_like(compact, F.lit(r"^[A-Fa-f]{1,5}$")), letters(compact))
-        .when(F.regexp_like(compact, F.lit(r"^[\[(]?\s*[A-Fa-f]\s*[\])]?$")), one(r"([A-Fa-f])", 1))
-        .when(is_malformed(compact), none())
-        .when(F.regexp_like(compact, F.lit(r"(?i)^(?:option\s*)?[A-F]" + BOUNDARY)), one(r"(?i)^(?:option\s*)?([A-F])" + BOUNDARY, 1))
-        .when(F.regexp_like(compact, F.lit(PHRASE)), one(PHRASE, 1))
+        .when(holds(compact, ONLY_LETTERS), letters(compact))
+        .when(holds(compact, ONE_LETTER), one(r"([A-Fa-f])"))
+        .when(holds(compact, TWO_BRACKETED), none())
+        .when(holds(compact, LEADING), one(LEADING))
+        .when(holds(compact, PHRASE), one(PHRASE))
         .otherwise(F.array_sort(F.array_distinct(tokens)))
     )
 
@@ -53,10 +61,8 @@ def malformed(response: Column) -> Column:
 
 def truth(answer: Column) -> Column:
     """Sorted letters of an answer key: a leading letter, else what a prediction would give."""
-    lead = r"(?i)^([A-F])" + BOUNDARY
-
     def of(raw: Column) -> Column:
-        return F.when(F.regexp_like(raw, F.lit(lead)), F.array(F.upper(F.regexp_extract(raw, lead, 1)))).otherwise(predicted(raw))
+        return F.when(holds(raw, KEY_LEADING), F.array(F.upper(F.regexp_extract(raw, KEY_LEADING, 1)))).otherwise(predicted(raw))
 
     return let(strip(F.coalesce(answer, F.lit(""))), of)
 

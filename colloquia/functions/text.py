@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-#: Markers that end a question's stem.
+#: Markers that end a question's stem, the instruction and the fallback option of a rendered
+#: question, the key of a question without text, and the marks in model responses.
 SELECT_MARKER = "You need to select"
 STEM_MARKERS = ("Please provide the option corresponding to the only correct answer", "You need to select the correct answer from the following options:")
 INSTRUCTION = "Please provide the option corresponding to the only correct answer, enclosed in parentheses, e.g., (X)."

@@ -58,9 +58,13 @@ def included(version: Column, check_result: Column, ablation: Column) -> Column:
     return ~(checked & (F.coalesce(check_result, F.lit("")) != "right")) & ~(version.isin("v2", "v3", "v4") & late)
 
 
+#: Reasons of an exclusion.
+CHECK_REASON, ABLATION_REASON = "only_evidence_check.result=", "iterative_evidence_ablation round=5 result=right"
+
+
 def exclusion_reason(version: Column, check_result: Column) -> Column:
     bad = version.isin("v1", "v2", "v3", "v4") & (F.coalesce(check_result, F.lit("")) != "right")
-    return F.when(bad, F.concat(F.lit("only_evidence_check.result="), F.coalesce(check_result, F.lit("N/A")))).otherwise("iterative_evidence_ablation round=5 result=right")
+    return F.when(bad, F.concat(F.lit(CHECK_REASON), F.coalesce(check_result, F.lit("N/A")))).otherwise(ABLATION_REASON)
 
 
 def verdict(answer: Column, response: Column) -> Column:

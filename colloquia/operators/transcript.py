@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from ..functions.text import image_suffix, session_time_key, strip
 
-UNKNOWN_TIME = "Unknown time"
+#: Header of a session and the time of one that has none.
+HEAD, HEAD_END, UNKNOWN_TIME = "\n--- Turn started at ", " ---", "Unknown time"
 
 
 def speaker_name(turns: DataFrame, speakers: DataFrame) -> DataFrame:
@@ -33,7 +34,7 @@ def session_transcript(turns: DataFrame, figure_view: bool = False) -> DataFrame
     sessions = lines.groupBy("record_idx", "session_no").agg(
         F.max("session_ts").alias("ts"), F.array_sort(F.collect_list(F.when(F.col("shown"), F.struct("turn_idx", "line")))).alias("own")
     )
-    head = F.concat(F.lit("\n--- Turn started at "), F.coalesce("ts", F.lit(UNKNOWN_TIME)), F.lit(" ---"))
+    head = F.concat(F.lit(HEAD), F.coalesce("ts", F.lit(UNKNOWN_TIME)), F.lit(HEAD_END))
     parts = sessions.select("record_idx", "session_no", F.array_join(F.concat(F.array(head), F.transform("own", lambda t: t["line"])), "\n").alias("part"))
     whole = parts.groupBy("record_idx").agg(F.array_sort(F.collect_list(F.struct("session_no", "part"))).alias("parts"))
     return whole.select("record_idx", strip(F.array_join(F.transform("parts", lambda p: p["part"]), "\n")).alias("transcript"))
@@ -49,7 +50,7 @@ def two_party_transcript(turns: DataFrame, key_order: str = "key_idx") -> DataFr
     shown = F.col("turn_idx").isNotNull() & F.col("text").isNotNull()
     lines = turns.withColumn("line", F.when(shown, F.concat_ws(": ", name, "text")))
     keys = lines.groupBy("record_idx", key_order).agg(F.max("session_ts").alias("ts"), F.array_sort(F.collect_list(F.when(shown, F.struct("turn_idx", "line")))).alias("own"))
-    head = F.concat(F.lit("\n--- Turn started at "), F.coalesce("ts", F.lit(UNKNOWN_TIME)), F.lit(" ---"))
+    head = F.concat(F.lit(HEAD), F.coalesce("ts", F.lit(UNKNOWN_TIME)), F.lit(HEAD_END))
     parts = keys.select("record_idx", key_order, F.array_join(F.concat(F.array(head), F.transform("own", lambda t: t["line"])), "\n").alias("part"))
     whole = parts.groupBy("record_idx").agg(F.array_sort(F.collect_list(F.struct(key_order, "part"))).alias("parts"))
     return whole.select("record_idx", F.array_join(F.transform("parts", lambda p: p["part"]), "\n").alias("transcript"))

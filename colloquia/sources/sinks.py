@@ -83,13 +83,17 @@ def write_report_csv(rows: DataFrame, path: str, order: list[str], bom: bool = F
         writer.writerows(["" if v is None else v for v in r] for r in got)
 
 
+#: Title and empty text of the metrics report.
+REPORT_TITLE, REPORT_EMPTY = "   FULL CONTEXT MCQ SUMMARY", "No results to summarize."
+
+
 def metrics_report(summary: DataFrame) -> str:
     """The fixed-width text of metrics_summary: categories in mixed order, then ALL."""
     rows = {r["category"]: (r["n"], r["mcq"]) for r in summary.collect()}  # one row per category
     line = "=" * 40
-    out = ["", line, "   FULL CONTEXT MCQ SUMMARY", line]
+    out = ["", line, REPORT_TITLE, line]
     if not rows.get("ALL", (0,))[0]:
-        return "\n".join([*out, "No results to summarize.", ""])
+        return "\n".join([*out, REPORT_EMPTY, ""])
     head = f"{'Category':<10} | {'Count':<6} | {'MCQ':<8}"
     key = lambda c: (0, int(c), "") if c.lstrip("-").isdigit() else (1, 0, c)
     body = [f"{c:<10} | {rows[c][0]:<6} | {rows[c][1]:<8.4f}" for c in [*sorted((c for c in rows if c != "ALL"), key=key), "ALL"]]
