@@ -35,6 +35,13 @@ class Levels:
         return (least >> np.uint64(64 - LEVEL_BITS)).astype(np.int64), windows(h, self.length).view(np.int64)
 
 
+def repeated_places(hashes: np.ndarray) -> np.ndarray:
+    """Positions of values that occur more than once; most texts have none, which a plain sort tells."""
+    ordered = np.sort(hashes)
+    again = ordered[1:] == ordered[:-1]
+    return np.flatnonzero(np.isin(hashes, ordered[1:][again])) if again.any() else np.empty(0, np.int64)
+
+
 def covered(starts: np.ndarray, length: int, n: int) -> np.ndarray:
     """Mask of n words covered by windows at ``starts``."""
     edge = np.zeros(n + 1, np.int32)
@@ -67,6 +74,8 @@ def remove_repeats(docs: DataFrame, length: int = 20, text: str = "text", id_col
     names = keyed.select(k, a, F.xxhash64(F.lit(1), own).alias("b"))
     groups = names.groupBy(a, "b").agg(F.min(k).alias("first"), F.max(k).alias("last")).where("first < last")
     later = names.join(groups, [a, "b"]).where(F.col(k) > F.col("first")).groupBy(k).agg(F.collect_set(a).alias(copies))
+    twins = names.groupBy(k).agg(F.min(a).alias("x"), F.max(a).alias("y")).where("x < y")
+    alone = twins.isEmpty()  # each id has one text, so ids alone tell texts apart and rows are smaller
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     dealt = keyed.select(k, a, own).repartition(parts, k)
 
@@ -80,8 +89,7 @@ def remove_repeats(docs: DataFrame, length: int = 20, text: str = "text", id_col
                     continue
                 least_half, full = levels.of(words)
                 new = np.append(True, least_half[1:] != least_half[:-1])
-                _, where, count = np.unique(full, return_inverse=True, return_counts=True)
-                twice = np.unique(least_half[count[where] > 1])
+                twice = np.unique(least_half[repeated_places(full)])
                 hs += [least_half[new], twice]
                 ks.append(np.full(int(new.sum()) + len(twice), key))
             yield _row({least: np.concatenate(hs), k: np.concatenate(ks)})
@@ -93,22 +101,27 @@ def remove_repeats(docs: DataFrame, length: int = 20, text: str = "text", id_col
     def level_two(batches):
         levels = Levels(length)
         for batch in slices(batches, own):
-            out = {c: [np.empty(0, t)] for c, t in (("g", np.int64), ("k", np.int64), ("a", np.int64), ("s", np.int32))}
+            out = {c: [np.empty(0, t)] for c, t in (("g", np.int64), ("k", np.int64), ("a", np.int64), ("s", np.int32), ("late", bool))}
             for key, mark, value, alive in zip(*(batch.column(c) for c in (k, a, own, found)), strict=True):
                 words = value.as_py().encode().split()
                 if len(words) < length:
                     continue
                 least_half, full = levels.of(words)
-                starts = np.flatnonzero(np.isin(least_half, alive.values.to_numpy()))
+                new = np.append(True, least_half[1:] != least_half[:-1])
+                starts = np.flatnonzero(np.isin(least_half[new], alive.values.to_numpy())[np.cumsum(new) - 1])
+                late = np.ones(len(starts), bool)
+                late[np.unique(full[starts], return_index=True)[1]] = False
                 out["g"].append(full[starts])
+                out["late"].append(late)
                 out["k"].append(np.full(len(starts), key.as_py()))
-                out["a"].append(np.full(len(starts), mark.as_py()))
+                out["a"].append(np.full(len(starts), 0 if alone else mark.as_py()))
                 out["s"].append(starts.astype(np.int32))
             yield _row({c: np.concatenate(x) for c, x in out.items()})
 
-    full = dealt.join(survivors, k).mapInArrow(level_two, "g long, k long, a long, s int")
-    firsts = full.groupBy("g").agg(F.min(F.struct("k", "a", "s")).alias("o"), F.count("*").alias("n")).where("n > 1").select("g", "o")
-    behind = full.join(firsts, "g").where(F.struct("k", "a", "s") > F.col("o"))
+    full = dealt.join(survivors, k).mapInArrow(level_two, "g long, k long, a long, s int, late boolean")
+    order = F.col("k") if alone else F.struct("k", "a")
+    firsts = full.groupBy("g").agg(F.min(order).alias("o"), F.count("*").alias("n")).where("n > 1").select("g", "o")
+    behind = full.join(firsts, "g").where(F.col("late") | (order > F.col("o")))
     gone = behind.groupBy(F.col("k").alias(k)).agg(F.collect_list(F.struct("a", "s")).alias(found))
 
     rest = [c for c in docs.columns if c != text]
@@ -123,7 +136,7 @@ def remove_repeats(docs: DataFrame, length: int = 20, text: str = "text", id_col
                     removed, words = n, []
                 elif spans.is_valid:
                     own_rows, starts = (spans.values.field(i).to_numpy() for i in (0, 1))
-                    mask = covered(starts[own_rows == mark], length, n)
+                    mask = covered(starts if alone else starts[own_rows == mark], length, n)
                     removed = int(mask.sum())
                     words = [w for w, g in zip(words, mask.tolist(), strict=True) if not g]
                 n_words.append(n)
