@@ -24,8 +24,10 @@ from .common import fresh
 
 #: Pieces whose ids a worker remembers, in each of two generations.
 MEMO = 200_000
-#: Prefix tables that a worker keeps for pieces to start from, and their lengths in bytes, longest first.
-PREFIXES, PREFIX_BYTES = 300_000, (8, 6, 4)
+#: Prefixes whose last token a worker remembers; starts anew when full.
+PREFIXES = 300_000
+#: Bytes of a piece from which prefixes are taken in order, not on demand.
+LONG = 200
 #: Token pairs whose verdict a worker remembers; starts anew when full.
 PAIRS = 400_000
 #: Bytes of text that one Arrow slice gathers at least before it is passed on.
@@ -83,7 +85,7 @@ class Encoder:
         self.v = vocabulary
         self.longest = max(map(len, vocabulary.ranks))
         self.pairs: dict[int, bool] = {}
-        self.prefixes: dict[bytes, list[int]] = {}
+        self.prefixes: dict[bytes, int] = {}
         self.reach: dict[bytes, int] = {}  # longest token that ends with these three bytes
         for token in vocabulary.ranks:
             self.reach[token[-3:]] = max(len(token), self.reach.get(token[-3:], 2))
@@ -142,23 +144,43 @@ class Encoder:
             at -= len(self.v.tokens[last[at - 1]])
         return out[::-1]
 
+    def last(self, prefix: bytes) -> int:
+        """The last token of a prefix, from those of the shorter prefixes that it needs."""
+        known, left, reach, pairs = self.v.ranks.get, self.v.left, self.reach.get, self.pairs.get
+        end = len(prefix)
+        for start in range(max(0, end - reach(prefix[-3:], 2)), end):
+            t = known(prefix[start:])
+            if t is None or left[t] < 0:
+                continue
+            if start:
+                head = prefix[:start]
+                before = self.prefixes.get(head)
+                if before is None:
+                    before = self.prefixes[head] = self.last(head)
+                fit = pairs(before << 32 | t)
+                if not (self.fits(before, t) if fit is None else fit):
+                    continue
+            return t
+        raise ValueError("the vocabulary lacks a byte")
+
     def encode(self, piece: bytes) -> list[int]:
         whole = self.v.ranks.get(piece)
         if whole is not None:
             return [whole]
-        last: list[int] = []
-        for size in PREFIX_BYTES:
-            if size < len(piece) and (known := self.prefixes.get(piece[:size])) is not None:
-                last = known[:]
-                break
-        had = len(last)
-        self.extend(piece, last, len(piece))
+        if len(piece) > LONG:
+            table: list[int] = []
+            self.extend(piece, table, len(piece))
+            return self.read(table)
         if len(self.prefixes) >= PREFIXES:
             self.prefixes.clear()
-        for size in PREFIX_BYTES:
-            if had < size < len(piece):
-                self.prefixes[piece[:size]] = last[:size]
-        return self.read(last)
+        tokens, out = self.v.tokens, [self.last(piece)]
+        at = len(piece) - len(tokens[out[0]])
+        while at:
+            t = self.prefixes[piece[:at]]
+            out.append(t)
+            at -= len(tokens[t])
+        out.reverse()
+        return out
 
 
 class PrefixTable:
