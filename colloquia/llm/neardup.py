@@ -53,10 +53,9 @@ class JaccardParams:
 
 def shingle_set(text: str, k: int, hashes: WordHashes) -> np.ndarray:
     """Sorted 64-bit hashes of the distinct k-word shingles, A-Z in lower case; fewer words are one shingle."""
-    words = text.encode().lower().split()
-    h = hashes.of(words)
-    if 0 < len(words) < k:
-        whole = np.full(1, len(words), np.uint64)
+    h = hashes.of(text.encode().lower())
+    if 0 < len(h) < k:
+        whole = np.full(1, len(h), np.uint64)
         for x in h:
             whole = mix(whole, x[None])
         return whole

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from .bpe import slices
 from .common import fresh
-from .grams import WordHashes, sliding_min, windows
+from .grams import WordHashes, mix, sliding_min, windows
 
 #: Hash bits of level one; collisions only let more places reach the full length.
 LEVEL_BITS = 48
@@ -28,9 +28,9 @@ class Levels:
     def __init__(self, length: int):
         self.length, self.half, self.hashes = length, length // 2, WordHashes()
 
-    def of(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        """(least half window of each full window, full windows)"""
-        h = self.hashes.of(words)
+    def of(self, text: str) -> tuple[np.ndarray, np.ndarray]:
+        """(least half window of each full window, full windows); both empty for a shorter text"""
+        h = self.hashes.of(text.encode())
         least = sliding_min(windows(h, self.half), self.length - self.half + 1)
         return (least >> np.uint64(64 - LEVEL_BITS)).astype(np.int64), windows(h, self.length).view(np.int64)
 
@@ -84,10 +84,9 @@ def remove_repeats(docs: DataFrame, length: int = 20, text: str = "text", id_col
         for batch in slices(batches, own):
             hs, ks = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
             for key, mark, value, gone in zip(*(batch.column(c).to_pylist() for c in (k, a, own, copies)), strict=True):
-                words = value.encode().split()
-                if len(words) < length or (gone and mark in gone):
+                least_half, full = levels.of("" if gone and mark in gone else value)
+                if not len(full):
                     continue
-                least_half, full = levels.of(words)
                 new = np.append(True, least_half[1:] != least_half[:-1])
                 twice = np.unique(least_half[repeated_places(full)])
                 hs += [least_half[new], twice]
@@ -103,15 +102,15 @@ def remove_repeats(docs: DataFrame, length: int = 20, text: str = "text", id_col
         for batch in slices(batches, own):
             out = {c: [np.empty(0, t)] for c, t in (("g", np.int64), ("k", np.int64), ("a", np.int64), ("s", np.int32), ("late", bool))}
             for key, mark, value, alive in zip(*(batch.column(c) for c in (k, a, own, found)), strict=True):
-                words = value.as_py().encode().split()
-                if len(words) < length:
+                least_half, full = levels.of(value.as_py())
+                if not len(full):
                     continue
-                least_half, full = levels.of(words)
                 new = np.append(True, least_half[1:] != least_half[:-1])
                 starts = np.flatnonzero(np.isin(least_half[new], alive.values.to_numpy())[np.cumsum(new) - 1])
                 late = np.ones(len(starts), bool)
                 late[np.unique(full[starts], return_index=True)[1]] = False
-                out["g"].append(full[starts])
+                # A window repeated within its text goes whatever other texts hold, so those rows are spread.
+                out["g"].append(np.where(late, mix(full[starts].view(np.uint64), starts.astype(np.uint64)).view(np.int64), full[starts]))
                 out["late"].append(late)
                 out["k"].append(np.full(len(starts), key.as_py()))
                 out["a"].append(np.full(len(starts), 0 if alone else mark.as_py()))
@@ -120,8 +119,8 @@ def remove_repeats(docs: DataFrame, length: int = 20, text: str = "text", id_col
 
     full = dealt.join(survivors, k).mapInArrow(level_two, "g long, k long, a long, s int, late boolean")
     order = F.col("k") if alone else F.struct("k", "a")
-    firsts = full.groupBy("g").agg(F.min(order).alias("o"), F.count("*").alias("n")).where("n > 1").select("g", "o")
-    behind = full.join(firsts, "g").where(F.col("late") | (order > F.col("o")))
+    firsts = full.where("NOT late").groupBy("g").agg(F.min(order).alias("o"), F.count("*").alias("n")).where("n > 1").select("g", "o")
+    behind = full.join(firsts, "g", "left").where(F.col("late") | (order > F.col("o")))
     gone = behind.groupBy(F.col("k").alias(k)).agg(F.collect_list(F.struct("a", "s")).alias(found))
 
     rest = [c for c in docs.columns if c != text]
