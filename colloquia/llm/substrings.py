@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .bpe import slices
-from .common import fresh
+from .common import fresh, written
 from .grams import WordHashes, mix, sliding_min, windows
 
 #: Hash bits of level one; collisions only let more places reach the full length.
@@ -54,6 +54,59 @@ def _row(columns: dict[str, np.ndarray]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c) for c in columns.values()], names=list(columns))
 
 
+def half_windows(texts: DataFrame, length: int, key: str, mark: str, text: str, skipped: str, out: str) -> DataFrame:
+    """(out, key): least half windows of a text's full windows, twice those of windows that it repeats itself.
+
+    Texts whose hash is among their row's ``skipped`` have none.
+    """
+
+    def run(batches):
+        levels = Levels(length)
+        for batch in slices(batches, text):
+            hs, ks = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+            for k, a, value, gone in zip(*(batch.column(c).to_pylist() for c in (key, mark, text, skipped)), strict=True):
+                least_half, full = levels.of("" if gone and a in gone else value)
+                if not len(full):
+                    continue
+                new = np.append(True, least_half[1:] != least_half[:-1])
+                twice = np.unique(least_half[repeated_places(full)])
+                hs += [least_half[new], twice]
+                ks.append(np.full(int(new.sum()) + len(twice), k))
+            yield _row({out: np.concatenate(hs), key: np.concatenate(ks)})
+
+    return texts.mapInArrow(run, f"{out} long, {key} long")
+
+
+def full_windows(texts: DataFrame, length: int, key: str, mark: str, text: str, alive: str, marked: bool) -> DataFrame:
+    """(g, k, a, s, late) of full windows whose least half window is among their row's ``alive``.
+
+    late says that the text holds the window before; as such a window goes whatever other texts
+    hold, its g is spread. a is the text's hash, or 0 if not ``marked``.
+    """
+
+    def run(batches):
+        levels = Levels(length)
+        for batch in slices(batches, text):
+            out = {c: [np.empty(0, t)] for c, t in (("g", np.int64), ("k", np.int64), ("a", np.int64), ("s", np.int32), ("late", bool))}
+            for k, a, value, own in zip(*(batch.column(c) for c in (key, mark, text, alive)), strict=True):
+                least_half, full = levels.of(value.as_py())
+                if not len(full):
+                    continue
+                new = np.append(True, least_half[1:] != least_half[:-1])
+                starts = np.flatnonzero(np.isin(least_half[new], own.values.to_numpy())[np.cumsum(new) - 1])
+                late = np.ones(len(starts), bool)
+                late[np.unique(full[starts], return_index=True)[1]] = False
+                spread = mix(full[starts].view(np.uint64), starts.astype(np.uint64)).view(np.int64)
+                out["g"].append(np.where(late, spread, full[starts]))
+                out["late"].append(late)
+                out["k"].append(np.full(len(starts), k.as_py()))
+                out["a"].append(np.full(len(starts), a.as_py() if marked else 0))
+                out["s"].append(starts.astype(np.int32))
+            yield _row({c: np.concatenate(x) for c, x in out.items()})
+
+    return texts.mapInArrow(run, "g long, k long, a long, s int, late boolean")
+
+
 def remove_repeats(docs: DataFrame, length: int = 20, text: str = "text", id_col: str = "doc_id") -> DataFrame:
     """Add ``n_words``, ``n_removed`` and ``kept_text`` (kept words joined by one space) to each row.
 
@@ -79,45 +132,11 @@ def remove_repeats(docs: DataFrame, length: int = 20, text: str = "text", id_col
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     dealt = keyed.select(k, a, own).repartition(parts, k)
 
-    def level_one(batches):
-        levels = Levels(length)
-        for batch in slices(batches, own):
-            hs, ks = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
-            for key, mark, value, gone in zip(*(batch.column(c).to_pylist() for c in (k, a, own, copies)), strict=True):
-                least_half, full = levels.of("" if gone and mark in gone else value)
-                if not len(full):
-                    continue
-                new = np.append(True, least_half[1:] != least_half[:-1])
-                twice = np.unique(least_half[repeated_places(full)])
-                hs += [least_half[new], twice]
-                ks.append(np.full(int(new.sum()) + len(twice), key))
-            yield _row({least: np.concatenate(hs), k: np.concatenate(ks)})
-
-    halves = dealt.join(later, k, "left").mapInArrow(level_one, f"{least} long, {k} long")
+    halves = half_windows(dealt.join(later, k, "left"), length, k, a, own, copies, least)
     repeated = halves.groupBy(least).agg(F.count("*").alias("n")).where("n > 1").select(least)
     survivors = halves.join(repeated, least, "left_semi").groupBy(k).agg(F.collect_set(least).alias(found))
 
-    def level_two(batches):
-        levels = Levels(length)
-        for batch in slices(batches, own):
-            out = {c: [np.empty(0, t)] for c, t in (("g", np.int64), ("k", np.int64), ("a", np.int64), ("s", np.int32), ("late", bool))}
-            for key, mark, value, alive in zip(*(batch.column(c) for c in (k, a, own, found)), strict=True):
-                least_half, full = levels.of(value.as_py())
-                if not len(full):
-                    continue
-                new = np.append(True, least_half[1:] != least_half[:-1])
-                starts = np.flatnonzero(np.isin(least_half[new], alive.values.to_numpy())[np.cumsum(new) - 1])
-                late = np.ones(len(starts), bool)
-                late[np.unique(full[starts], return_index=True)[1]] = False
-                # A window repeated within its text goes whatever other texts hold, so those rows are spread.
-                out["g"].append(np.where(late, mix(full[starts].view(np.uint64), starts.astype(np.uint64)).view(np.int64), full[starts]))
-                out["late"].append(late)
-                out["k"].append(np.full(len(starts), key.as_py()))
-                out["a"].append(np.full(len(starts), 0 if alone else mark.as_py()))
-                out["s"].append(starts.astype(np.int32))
-            yield _row({c: np.concatenate(x) for c, x in out.items()})
-
-    full = dealt.join(survivors, k).mapInArrow(level_two, "g long, k long, a long, s int, late boolean")
+    full = full_windows(dealt.join(survivors, k), length, k, a, own, found, not alone)
     order = F.col("k") if alone else F.struct("k", "a")
     firsts = full.where("NOT late").groupBy("g").agg(F.min(order).alias("o"), F.count("*").alias("n")).where("n > 1").select("g", "o")
     behind = full.join(firsts, "g", "left").where(F.col("late") | (order > F.col("o")))
@@ -147,3 +166,37 @@ def remove_repeats(docs: DataFrame, length: int = 20, text: str = "text", id_col
     source = keyed.repartition(parts, k) if set(docs.columns) != {id_col, text} or dict(docs.dtypes)[id_col] != "bigint" else dealt.withColumn(id_col, F.when(F.col(k) != -(2**63), F.col(k)))
     schema = docs.select(*rest, text).schema.add("n_words", "long").add("n_removed", "long").add("kept_text", "string")
     return source.join(later, k, "left").join(gone, k, "left").mapInArrow(clean, schema)
+
+
+def doubled(windows: DataFrame, length: int) -> DataFrame:
+    """(k, a, s, length): windows (g, k, a, s) found at two places or more, at ``length`` and each doubling of it.
+
+    Only where two repeated windows stand end to end is one of twice the length tried; its hash is
+    that of the two. Levels end when none survives: after the logarithm of the longest repeat.
+    """
+    rows, out = windows, None
+    while True:
+        repeated = rows.groupBy("g").agg(F.count("*").alias("n")).where("n > 1").select("g")
+        alive = written(rows.join(repeated, "g", "left_semi"))
+        if out is not None and alive.isEmpty():
+            return out
+        level = alive.select("k", "a", "s", F.lit(length).alias("length"))
+        out = level if out is None else out.unionByName(level)
+        after = alive.select("k", "a", (F.col("s") - length).alias("s"), F.col("g").alias("g2"))
+        rows = alive.join(after, ["k", "a", "s"]).select(F.xxhash64("g", "g2").alias("g"), "k", "a", "s")
+        length *= 2
+
+
+def repeated_passages(docs: DataFrame, length: int = 20, text: str = "text", id_col: str = "doc_id") -> DataFrame:
+    """(doc_id, text_hash, start, length) of windows of words found at two places or more, at each doubled length.
+
+    Copies of a text count as places; of places within one text the first is taken. Rows that share id and text are one document.
+    """
+    source = docs.select(F.col(id_col).cast("long").alias("k"), F.coalesce(F.col(text), F.lit("")).alias("t"))
+    source = source.select(F.coalesce("k", F.lit(-(2**63))).alias("k"), F.xxhash64("t").alias("a"), "t").dropDuplicates(["k", "a"])
+    halves = half_windows(source.withColumn("none", F.lit(None).cast("array<long>")), length, "k", "a", "t", "none", "h")
+    repeated = halves.groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h")
+    alive = halves.join(repeated, "h", "left_semi").groupBy("k").agg(F.collect_set("h").alias("alive"))
+    full = full_windows(source.join(alive, "k"), length, "k", "a", "t", "alive", True)
+    levels = doubled(full.where("NOT late").select("g", "k", "a", "s"), length)
+    return levels.select(F.when(F.col("k") != -(2**63), F.col("k")).alias("doc_id"), F.col("a").alias("text_hash"), F.col("s").alias("start"), "length")

@@ -64,3 +64,22 @@ def test_other_lengths(spark):
         got = substrings.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string"), length)
         have = sorted((r.doc_id, r.n_words, r.n_removed, hashlib.sha256(r.kept_text.encode()).hexdigest()) for r in got.collect())
         assert have == plain(rows, length)
+
+
+def test_passages_double_until_none_survives(spark):
+    words = [f"w{i}" for i in range(300)]
+    rows = [(1, " ".join(words[:100])), (2, " ".join(["x"] + words[20:100])), (3, " ".join(words[200:230])), (4, "y " + " ".join(words[205:230])), (5, " ".join(words[150:190])), (5, " ".join(words[150:190])), (None, " ".join(words[0:11]))]
+    got = {tuple(r) for r in substrings.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string"), 10).drop("text_hash").collect()}
+    want, length = set(), 10
+    docs = {i: t.split() for i, t in rows}
+    while True:
+        places = {}
+        for i, w in docs.items():
+            for s in range(len(w) - length + 1):
+                places.setdefault(tuple(w[s : s + length]), []).append((i, s, length))
+        level = {p for own in places.values() if len(own) > 1 for p in own}
+        if not level:
+            break
+        want |= level
+        length *= 2
+    assert got == want and max(x[2] for x in got) == 80
