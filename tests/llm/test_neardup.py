@@ -93,13 +93,14 @@ def test_tree_loses_no_pair():
     assert have == want and want
 
 
-def test_components(spark):
+@pytest.mark.parametrize("one_task", [0, 10_000])
+def test_components(spark, one_task):
     rng = random.Random(2)
     links = [(rng.randrange(300), rng.randrange(300)) for _ in range(220)] + [(1000 + i, 1001 + i) for i in range(60)]
     root = {x: x for p in links for x in p}
     for _ in range(len(links)):
         for a, b in links:
             root[a] = root[b] = min(root[a], root[b])
-    out = {r.u: r.v for r in components.components(spark.createDataFrame(links, "u long, v long")).collect()}
+    out = {r.u: r.v for r in components.components(spark.createDataFrame(links, "u long, v long"), one_task).collect()}
     assert out == {a: b for a, b in root.items() if a != b}
-    assert components.components(spark.createDataFrame([], "u long, v long")).count() == 0
+    assert components.components(spark.createDataFrame([], "u long, v long"), one_task).count() == 0
