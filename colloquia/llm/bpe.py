@@ -9,6 +9,7 @@ side is decided by undoing merges at their border; no merge loop runs over texts
 from __future__ import annotations
 
 import base64
+import ctypes
 import hashlib
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -23,15 +24,15 @@ from pyspark.sql import functions as F
 from .common import fresh
 
 #: Pieces whose ids a worker remembers, in each of two generations.
-MEMO = 200_000
+MEMO = 120_000
 #: Prefixes whose last token a worker remembers; starts anew when full.
-PREFIXES = 300_000
+PREFIXES = 150_000
 #: Bytes of a piece from which prefixes are taken in order, not on demand.
 LONG = 200
 #: Token pairs whose verdict a worker remembers; starts anew when full.
-PAIRS = 400_000
+PAIRS = 250_000
 #: Bytes of text that one Arrow slice gathers at least before it is passed on.
-SLICE = 4_000_000
+SLICE = 2_000_000
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -245,8 +246,17 @@ def _memo(key: str, vocabulary) -> _Memo:
     return _KEPT[key]
 
 
+def release() -> None:
+    """Give memory that this Python worker no longer uses back to the system: workers outlive their stage."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):
+        pass  # another C library
+
+
 def slices(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[pa.RecordBatch]:
-    """Batches cut so that each holds about SLICE bytes of ``column``."""
+    """Batches cut so that each holds about SLICE bytes of ``column``; memory is released after each batch."""
     for batch in batches:
         ends = np.cumsum(pc.binary_length(batch.column(column)).fill_null(0).to_numpy(zero_copy_only=False))
         at = 0
@@ -255,6 +265,8 @@ def slices(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[pa.Record
             upto = max(at + 1, int(np.searchsorted(ends, gone + SLICE)))
             yield batch.slice(at, upto - at)
             at = upto
+        del batch
+        release()
 
 
 def encode_texts(docs: DataFrame, ranks: dict[bytes, int], pattern: str, text: str = "text", ids: str = "ids") -> DataFrame:

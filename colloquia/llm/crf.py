@@ -49,8 +49,8 @@ def tokenize(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     marked = bits & (DIGIT | DOT) != 0
     digits, dots = np.zeros(len(starts), np.int64), np.zeros(len(starts), np.int64)
     if marked.any():
-        digits = np.diff(np.concatenate([[0], np.cumsum(classes == DIGIT, dtype=np.int64)])[np.stack([starts, ends])], axis=0)[0]
-        dots = np.diff(np.concatenate([[0], np.cumsum(classes == DOT, dtype=np.int64)])[np.stack([starts, ends])], axis=0)[0]
+        digits = np.diff(np.concatenate([np.zeros(1, np.int32), np.cumsum(classes == DIGIT, dtype=np.int32)])[np.stack([starts, ends])], axis=0)[0]
+        dots = np.diff(np.concatenate([np.zeros(1, np.int32), np.cumsum(classes == DOT, dtype=np.int32)])[np.stack([starts, ends])], axis=0)[0]
     lengths = np.searchsorted([3, 8, 16], ends - starts, side="right")
     shapes = ((bits * N_DIGITS + DIGIT_BUCKET[np.minimum(digits, 14)]) * N_DOTS + np.minimum(dots, 3)) * N_LENGTHS + lengths
     return starts, ends, shapes
