@@ -15,6 +15,9 @@ from colloquia.llm.common import fresh, table, written
 #: A document of which no learned language contains this part of the n-grams is in none of them.
 LEAST_LANGUAGE_SHARE = 0.2
 
+#: Near copies share 80 % of their shingles of five words.
+NEAR_COPY = neardup.JaccardParams(shingle=5, percent=80)
+
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a letter, or in none of the learned languages, go."""
@@ -27,7 +30,7 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
     Rows that share id and text are one document listed more than once, and one row stays.
     """
-    linked = neardup.link_components(docs.select("doc_id", "text"))
+    linked = neardup.link_components(docs.select("doc_id", "text"), NEAR_COPY)
     first = linked.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.coalesce("doc_id", F.lit(-(2**63))).alias("_k")).distinct()
     key, mark = fresh(docs, "k"), fresh(docs, "text_hash")
     keyed = docs.withColumns({key: F.coalesce(F.col("doc_id").cast("long"), F.lit(-(2**63))), mark: F.xxhash64(F.coalesce("text", F.lit("")))})
