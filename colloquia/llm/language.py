@@ -126,6 +126,7 @@ def train(docs: DataFrame, params: LanguageParams = LanguageParams(), text: str
     counted = sample.select(F.col("l").cast("string").alias("l"), "t").mapInArrow(count, "l string, g long, n long, d long").groupBy("l", "g").agg(F.sum("n").alias("n"), F.sum("d").alias("d"))
     top = counted.withColumn("r", F.row_number().over(Window.partitionBy("l").orderBy(F.desc("n"), "g"))).where(F.col("r") <= 4 * params.max_grams)
     rows = top.select("l", "g", "n", "d").toPandas()
+    sampled = {r["l"]: r["n"] for r in sample.groupBy(F.col("l").cast("string").alias("l")).agg(F.count("*").alias("n")).collect()}
     languages = sorted(rows["l"].unique())
     slots = [np.zeros(1 << params.slots_log2, np.uint64) for _ in range((len(languages) + 63) // 64)]
     keys = np.unique(rows["g"].to_numpy())
@@ -135,7 +136,7 @@ def train(docs: DataFrame, params: LanguageParams = LanguageParams(), text: str
         own = rows[rows["l"] == name]
         at = np.searchsorted(keys, own["g"].to_numpy())
         share[i, at] = own["n"].to_numpy() / own["n"].sum()
-        common[i, at] = own["d"].to_numpy() >= max(2, params.min_share * params.sample_docs)
+        common[i, at] = own["d"].to_numpy() >= max(min(2, sampled[name]), params.min_share * sampled[name])
     member = common & (share >= params.ratio * share.max(axis=0, initial=0)) if languages else common
     for i in range(len(languages)):
         own = np.flatnonzero(member[i])
