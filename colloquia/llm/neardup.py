@@ -93,7 +93,7 @@ class Signer:
 
 
 def sign(docs: DataFrame, p: JaccardParams) -> DataFrame:
-    """(k, n, s1, s2, bands, counts) of each row of docs (k, t)."""
+    """(k, a, n, s1, s2, bands, counts) of each row of docs (k, a, t)."""
 
     def run(batches):
         signer, hashes = Signer(p), WordHashes()
@@ -110,9 +110,9 @@ def sign(docs: DataFrame, p: JaccardParams) -> DataFrame:
                     out[c].append(v)
             lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(bands)))
             kinds = {"n": pa.int64(), "s1": pa.int64(), "s2": pa.int64()}
-            yield pa.RecordBatch.from_arrays([batch.column("k"), *(pa.array(out[c], t) for c, t in kinds.items()), lists, pa.array(out["counts"], pa.binary())], names=["k", *kinds, "bands", "counts"])
+            yield pa.RecordBatch.from_arrays([batch.column("k"), batch.column("a"), *(pa.array(out[c], t) for c, t in kinds.items()), lists, pa.array(out["counts"], pa.binary())], names=["k", "a", *kinds, "bands", "counts"])
 
-    return docs.mapInArrow(run, "k long, n long, s1 long, s2 long, bands array<long>, counts binary")
+    return docs.mapInArrow(run, "k long, a long, n long, s1 long, s2 long, bands array<long>, counts binary")
 
 
 def fits(shared: np.ndarray, sizes: np.ndarray, percent: int) -> np.ndarray:
@@ -218,7 +218,7 @@ def bounded(pairs: DataFrame, nodes: DataFrame, p: JaccardParams) -> DataFrame:
 
 def sets_of(ids: DataFrame, nodes: DataFrame, docs: DataFrame, p: JaccardParams) -> DataFrame:
     """(id, shingles) for node ids, from one document of each."""
-    want = nodes.join(ids, "id", "left_semi").select(F.col("k"), "id", F.col("s1").alias("w1"), F.col("s2").alias("w2"))
+    want = nodes.join(ids, "id", "left_semi").select("k", "a", "id", F.col("s1").alias("w1"), F.col("s2").alias("w2"))
     want = written(want)
     if want.count() <= p.broadcast_ids:
         want = F.broadcast(want)
@@ -236,7 +236,7 @@ def sets_of(ids: DataFrame, nodes: DataFrame, docs: DataFrame, p: JaccardParams)
             lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(flat).view(np.int64)))
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), lists], names=["id", "shingles"])
 
-    return docs.join(want, "k").mapInArrow(run, "id long, shingles array<long>").dropDuplicates(["id"])
+    return docs.join(want, ["k", "a"]).mapInArrow(run, "id long, shingles array<long>").dropDuplicates(["id"])
 
 
 def verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, p: JaccardParams) -> DataFrame:
@@ -301,19 +301,18 @@ def mixed_blocks(blocks: DataFrame, nodes: DataFrame, stars: DataFrame, p: Jacca
     return dealt.mapInArrow(run, "u long, v long").distinct()
 
 
-def link_components(docs: DataFrame, params: JaccardParams = JaccardParams(), text: str = "text", id_col: str = "doc_id") -> DataFrame:
-    """One row per input row: doc_id, n_shingles, component_id.
+def link_rows(docs: DataFrame, params: JaccardParams = JaccardParams(), text: str = "text", id_col: str = "doc_id") -> DataFrame:
+    """One row per input row: k, a, n, root.
 
-    component_id is the smallest id that links reach; a null id sorts before all others. Null
-    text and text without words have no shingles and no links; equal texts link. Rows may share
-    an id. Other columns are ignored. Shingles are compared by 64-bit hashes.
+    k is the id (-2^63 if null), a the hash of the text, n the number of shingles; root is the
+    smallest (k, a) that links reach, so rows that share an id are told apart.
     """
     p = params
-    keyed = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(-(2**63))).alias("k"), F.coalesce(F.col(text), F.lit("")).alias("t"))
+    keyed = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(-(2**63))).alias("k"), F.coalesce(F.col(text), F.lit("")).alias("t")).withColumn("a", F.xxhash64("t"))
     signed = written(sign(keyed, p))
     name = ["s1", "s2", "n"]
-    nodes = signed.where("n > 0").groupBy(*name).agg(F.min("k").alias("k"), F.first("bands").alias("bands"), F.first("counts").alias("counts"))
-    nodes = written(nodes.withColumn("id", F.monotonically_increasing_id()))
+    nodes = signed.where("n > 0").groupBy(*name).agg(F.min(F.struct("k", "a")).alias("o"), F.first("bands").alias("bands"), F.first("counts").alias("counts"))
+    nodes = written(nodes.select(*name, "o.k", "o.a", "bands", "counts").withColumn("id", F.monotonically_increasing_id()))
     bands = nodes.select("id", F.explode("bands").alias("band"))
     led = bands.groupBy("band").agg(F.count("*").alias("m"), F.min_by("id", F.xxhash64("id")).alias("leader")).where("m > 1").drop("m")
     blocks = written(bands.join(led, "band"))
@@ -327,8 +326,19 @@ def link_components(docs: DataFrame, params: JaccardParams = JaccardParams(), te
     links = written(verified(more, nodes, keyed, p))
     if not links.isEmpty():
         stars = components(stars.unionByName(links))
-    rooted = nodes.select(*name, "id", "k").join(stars.select(F.col("u").alias("id"), F.col("v").alias("comp")), "id", "left").withColumn("comp", F.coalesce("comp", "id"))
-    roots = rooted.join(rooted.groupBy("comp").agg(F.min("k").alias("root")), "comp").select(*name, "root")
-    out = signed.select("k", *name).join(roots, name, "left")
+    rooted = nodes.select(*name, "id", "k", "a").join(stars.select(F.col("u").alias("id"), F.col("v").alias("comp")), "id", "left").withColumn("comp", F.coalesce("comp", "id"))
+    roots = rooted.join(rooted.groupBy("comp").agg(F.min(F.struct("k", "a")).alias("root")), "comp").select(*name, "root")
+    out = signed.select("k", "a", *name).join(roots, name, "left")
+    return out.select("k", "a", "n", F.coalesce("root", F.struct("k", "a")).alias("root"))
+
+
+def link_components(docs: DataFrame, params: JaccardParams = JaccardParams(), text: str = "text", id_col: str = "doc_id") -> DataFrame:
+    """One row per input row: doc_id, n_shingles, component_id.
+
+    component_id is the smallest id that links reach; a null id sorts before all others. Null
+    text and text without words have no shingles and no links; equal texts link. Rows may share
+    an id. Other columns are ignored. Shingles are compared by 64-bit hashes.
+    """
     null_low = lambda c: F.when(c != -(2**63), c)
-    return out.select(null_low(F.col("k")).alias("doc_id"), F.col("n").alias("n_shingles"), null_low(F.coalesce("root", "k")).alias("component_id"))
+    rows = link_rows(docs, params, text, id_col)
+    return rows.select(null_low(F.col("k")).alias("doc_id"), F.col("n").alias("n_shingles"), null_low(F.col("root.k")).alias("component_id"))

@@ -26,15 +26,15 @@ def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of linked documents the one of smallest id stays; documents without words stay.
+    """Of each group of linked documents the one of smallest id and text hash stays; documents without words stay.
 
     Rows that share id and text are one document listed more than once, and one row stays.
     """
-    linked = neardup.link_components(docs.select("doc_id", "text"), NEAR_COPY)
-    first = linked.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.coalesce("doc_id", F.lit(-(2**63))).alias("_k")).distinct()
+    linked = neardup.link_rows(docs.select("doc_id", "text"), NEAR_COPY)
     key, mark = fresh(docs, "k"), fresh(docs, "text_hash")
+    first = linked.where(F.col("root") == F.struct("k", "a")).select(F.col("k").alias(key), F.col("a").alias(mark)).distinct()
     keyed = docs.withColumns({key: F.coalesce(F.col("doc_id").cast("long"), F.lit(-(2**63))), mark: F.xxhash64(F.coalesce("text", F.lit("")))})
-    return keyed.join(first.withColumnRenamed("_k", key), key, "left_semi").dropDuplicates([key, mark]).select(*docs.columns)
+    return keyed.join(first, [key, mark], "left_semi").dropDuplicates([key, mark]).select(*docs.columns)
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -49,3 +49,12 @@ def test_appended_words_are_a_near_copy(spark):
     rows = [(1, text), (2, text + "".join(f" x{i}" for i in range(20))), (3, text + "".join(f" y{i}" for i in range(25)))]  # 96/116 and 96/121
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     assert sorted(r.doc_id for r in cp.near_duplicate_stage(spark, docs, "").collect()) == [1, 3]
+
+
+def test_rows_that_share_an_id_are_told_apart(spark):
+    text = " ".join(f"w{i}" for i in range(100))
+    other = " ".join(f"v{i}" for i in range(100))
+    rows = [(None, text), (None, text + " x"), (None, text + " y"), (1, other), (7, other + " z"), (7, "own words of seven alone here")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = [(r.doc_id, r.text) for r in cp.near_duplicate_stage(spark, docs, "").collect()]
+    assert len(kept) == 3 and {r for r in kept if r[0]} == {(1, other), (7, "own words of seven alone here")}
