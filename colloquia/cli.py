@@ -59,7 +59,9 @@ def version_rows(spark: SparkSession, directory: str):
 def stats(spark: SparkSession, args) -> None:
     rows = version_rows(spark, args.input_dir)
     counts = q.version_counts(rows, "category")
-    scripts = [r[0] for r in counts.select("script").distinct().orderBy(F.lower("script")).limit(1000).collect()]  # columns of a report
+    scripts = [r[0] for r in counts.select("script").distinct().orderBy(F.lower("script")).limit(1001).collect()]  # columns of a report
+    if len(scripts) > 1000:
+        raise ValueError("more than 1000 scripts are too many columns for a report")
     sinks.write_report_csv(q.stats_pivot(counts, scripts), args.output_csv, ["version", "category"], bom=True)
     gone = q.incremental(q.excluded(rows), ["script", "question", "character"], "file")
     counts.write.mode("overwrite").json(f"{args.output}/category_counts")
