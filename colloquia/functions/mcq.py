@@ -7,14 +7,18 @@ from pyspark.sql import functions as F
 
 from .text import let, strip, strip_prediction
 
-#: Patterns of the answer rules, in the order in which they are tried.
-ONLY_LETTERS = r"^[A-Fa-f]{1,5}$"
-ONE_LETTER = r"^[\[(]?\s*[A-Fa-f]\s*[\])]?$"
-TWO_BRACKETED = r"\([A-Fa-f]\)\([A-Fa-f]\)|\[[A-Fa-f]\]\[[A-Fa-f]\]"
-LEADING = r"(?i)^(?:option\s*)?([A-F])(?:[\s\)\]\.:,-]|$)"
-PHRASE = r"(?i)(?:answer|final answer|correct answer|choose|pick|option)\s*(?:is|:)?\s*[\[(]?([A-Fa-f])[\])]?"
-TOKEN = r"(?i)\(([A-F])\)|\[([A-F])\]|option\s+([A-F])\b"
-KEY_LEADING = r"(?i)^([A-F])(?:[\s\)\]\.:,-]|$)"
+#: Patterns of the answer rules, in the order in which they are tried; the first two stand for a whole text.
+ONLY_LETTERS = r"[A-Fa-f]{1,5}"
+ONE_LETTER = r"[\[(]?\s*[A-Fa-f]\s*[\])]?"
+TWO_ROUND = r"\([A-Fa-f]\)\([A-Fa-f]\)"
+TWO_SQUARE = r"\[[A-Fa-f]\]\[[A-Fa-f]\]"
+LEADING = r"^(?:option\s*)?([A-Fa-f])(?:[\s\)\]\.:,-]|$)"
+PHRASE = r"(?:answer|final answer|correct answer|choose|pick|option)\s*(?:is|:)?\s*[\[(]?([A-Fa-f])[\])]?"
+TOKEN = r"\(([A-Fa-f])\)|\[([A-Fa-f])\]|(?:option\s+)([A-Fa-f])\b"
+KEY_LEADING = r"^([A-Fa-f])(?:[\s\)\]\.:,-]|$)"
+
+#: White space, word ends and letter case are those of Unicode.
+WIDE, ANY_CASE = "(?U)", "(?iU)"
 
 
 def letters(c: Column) -> Column:
@@ -26,26 +30,34 @@ def none() -> Column:
     return F.array().cast("array<string>")
 
 
-def holds(text: Column, pattern: str) -> Column:
-    return F.regexp_like(text, F.lit(pattern))
+def holds(text: Column, pattern: str, flags: str = WIDE) -> Column:
+    return F.regexp_like(text, F.lit(flags + pattern))
+
+
+def whole(text: Column, pattern: str) -> Column:
+    return holds(text, f"^(?:{pattern})$")
+
+
+def first(text: Column, pattern: str) -> Column:
+    """The letter that the pattern's group names, in upper case."""
+    return F.array(F.upper(F.regexp_extract(text, ANY_CASE + pattern, 1)))
 
 
 def is_malformed(compact: Column) -> Column:
     """Two bracketed letters side by side, where no earlier rule holds."""
-    return ~(holds(compact, ONLY_LETTERS) | holds(compact, ONE_LETTER)) & holds(compact, TWO_BRACKETED)
+    return ~(whole(compact, ONLY_LETTERS) | whole(compact, ONE_LETTER)) & (holds(compact, TWO_ROUND) | holds(compact, TWO_SQUARE))
 
 
 def parse_compact(compact: Column) -> Column:
     """Letters that a stripped response names; the first rule that holds decides."""
-    one = lambda pattern: F.array(F.upper(F.regexp_extract(compact, pattern, 1)))
-    tokens = F.transform(F.regexp_extract_all(compact, F.lit(TOKEN), F.lit(0)), lambda m: F.upper(F.regexp_extract(m, r"([A-Fa-f])\W*$", 1)))
+    tokens = F.transform(F.regexp_extract_all(compact, F.lit(ANY_CASE + TOKEN), F.lit(0)), lambda m: F.upper(F.regexp_extract(m, r"([A-Fa-f])\W*$", 1)))
     return (
         F.when(compact == "", none())
-        .when(holds(compact, ONLY_LETTERS), letters(compact))
-        .when(holds(compact, ONE_LETTER), one(r"([A-Fa-f])"))
-        .when(holds(compact, TWO_BRACKETED), none())
-        .when(holds(compact, LEADING), one(LEADING))
-        .when(holds(compact, PHRASE), one(PHRASE))
+        .when(whole(compact, ONLY_LETTERS), letters(compact))
+        .when(whole(compact, ONE_LETTER), first(compact, "([A-F])"))
+        .when(holds(compact, TWO_ROUND) | holds(compact, TWO_SQUARE), none())
+        .when(holds(compact, LEADING, ANY_CASE), first(compact, LEADING))
+        .when(holds(compact, PHRASE, ANY_CASE), first(compact, PHRASE))
         .otherwise(F.array_sort(F.array_distinct(tokens)))
     )
 
@@ -62,7 +74,7 @@ def malformed(response: Column) -> Column:
 def truth(answer: Column) -> Column:
     """Sorted letters of an answer key: a leading letter, else what a prediction would give."""
     def of(raw: Column) -> Column:
-        return F.when(holds(raw, KEY_LEADING), F.array(F.upper(F.regexp_extract(raw, KEY_LEADING, 1)))).otherwise(predicted(raw))
+        return F.when(holds(raw, KEY_LEADING, ANY_CASE), first(raw, KEY_LEADING)).otherwise(predicted(raw))
 
     return let(strip(F.coalesce(answer, F.lit(""))), of)
 
