@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import CANNOT_INFER, INSTRUCTION, core_stem, map_label, option_letter, perplexity, strip, strip_letter_prefix
+from ..sources.sinks import staged
 from .ranking import global_rank, mean_loss, min_k_loss
 
 
@@ -104,23 +105,38 @@ def backfill(qa: DataFrame, accuracy: DataFrame, keys: list[str]) -> DataFrame:
     return qa.join(accuracy, keys, "left")
 
 
+#: Characters at a removed text's start that it and a question which contains it are joined on.
+HEAD = 12
+
+
+def _heads(text: Column, lengths: list[int]) -> Column:
+    """Hashes of all pieces of ``text`` with one of the lengths."""
+    pieces = lambda n: F.transform(F.sequence(F.lit(1), F.length(text) - n + 1), lambda i: F.xxhash64(F.substr(text, i, F.lit(n))))
+    return F.array_distinct(F.flatten(F.array(*[F.when(F.length(text) >= n, pieces(n)).otherwise(F.array().cast("array<bigint>")) for n in lengths])))
+
+
 def remove_replaced(qa: DataFrame, removed: DataFrame, broadcast_rows: int = 10_000) -> DataFrame:
-    """Questions that contain none of the removed texts (removed: q_text).
+    """Questions that contain none of the removed texts (removed: q_text); a null question contains none.
 
-    Containment has no equal key. Up to ``broadcast_rows`` texts are broadcast; beyond, texts and questions
-    meet on the text's first words, which a containing question also holds.
+    Whether a row goes depends on its question alone, so rows are told apart by that and copies go
+    together. Texts and questions meet on a hash of the text's first ``HEAD`` characters (all of a
+    shorter text), which each containing question also holds; up to ``broadcast_rows`` texts are
+    broadcast, more are joined by a shuffle of hashes.
     """
     texts = removed.where(F.col("q_text").isNotNull() & (F.col("q_text") != "")).select("q_text").distinct()
-    if texts.count() <= broadcast_rows:
-        return qa.join(F.broadcast(texts), F.contains(F.col("question"), F.col("q_text")), "left_anti")
-    head = 12
-    short = texts.where(F.length("q_text") < head)
-    out = qa.join(F.broadcast(short), F.contains(F.col("question"), F.col("q_text")), "left_anti") if short.count() <= broadcast_rows else qa.join(short, F.contains(F.col("question"), F.col("q_text")), "left_anti")
-    keyed = texts.where(F.length("q_text") >= head).withColumn("_head", F.substring("q_text", 1, head))
-    places = F.when(F.length("question") >= head, F.sequence(F.lit(1), F.length("question") - head + 1))
-    heads = out.select("qid", "question", F.explode(places).alias("_i")).select("qid", "question", F.substr("question", "_i", F.lit(head)).alias("_head")).distinct()
-    hit = heads.join(keyed, "_head").where(F.contains(F.col("question"), F.col("q_text"))).select("qid").distinct()
-    return out.join(hit, "qid", "left_anti")
+    keyed = texts.withColumn("_n", F.least(F.length("q_text"), F.lit(HEAD)))
+    counts = {r["_n"]: r["count"] for r in keyed.groupBy("_n").count().collect()}  # HEAD rows at most
+    if not counts:
+        return qa
+    keyed = keyed.select("q_text", F.xxhash64(F.substr("q_text", F.lit(1), F.col("_n"))).alias("_head"))
+    asked = qa.where(F.col("question").isNotNull()).select(F.col("question").alias("_asked")).distinct()
+    if sum(counts.values()) <= broadcast_rows:
+        pairs = asked.withColumn("_head", F.explode(_heads(F.col("_asked"), sorted(counts)))).join(F.broadcast(keyed), "_head")
+    else:
+        places = asked.select(F.xxhash64("_asked").alias("_h"), F.explode(_heads(F.col("_asked"), sorted(counts))).alias("_head"))
+        pairs = places.join(keyed, "_head").select("_h", "q_text").join(asked.withColumn("_h", F.xxhash64("_asked")), "_h")
+    gone = pairs.where(F.contains(F.col("_asked"), F.col("q_text"))).select("_asked").distinct()
+    return qa.join(gone, qa["question"] == gone["_asked"], "left_anti")
 
 
 def merge_refined(originals: DataFrame, refined: DataFrame) -> DataFrame:
@@ -136,6 +152,7 @@ def merge_refined(originals: DataFrame, refined: DataFrame) -> DataFrame:
     both = kept.select(F.lit(0).alias("_part"), F.col("qid").alias("_order"), "character", "question", "label").unionByName(
         new.select(F.lit(1).alias("_part"), F.col("refined_idx").alias("_order"), "character", "question", map_label(F.col("label")).alias("label"))
     )
+    both = staged(both)  # ranks take several passes
     sizes = both.groupBy("_part").count().collect()
     first = {r["_part"]: r["count"] for r in sizes}.get(0, 0)
     ranked = [global_rank(both.where(F.col("_part") == p), "_order", ["question"], "new_qid", start=1 + first * p) for p in (0, 1)]

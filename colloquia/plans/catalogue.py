@@ -6,6 +6,7 @@ Every query runs over its whole tables. Inputs that the tables lack are derived
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -103,12 +104,12 @@ def mixed_key_order(spark, sf):
 
 
 EVIDENCE_SQL = f"""WITH {d.TURNS_SQL}, {d.QA_SQL}, evidence AS (
- SELECT conv_id AS record_idx, qid, 'D' || CAST(conv_id AS VARCHAR) || ':' || CAST((turn + 1) % 4 AS VARCHAR) AS dia_id, NULL AS utterance FROM qa WHERE turn < 2
- UNION ALL SELECT conv_id, qid, 'N/A', 'see session_' || CAST(turn + 1 AS VARCHAR) || '_date_time' FROM qa WHERE turn < 2)"""
+ SELECT conv_id AS record_idx, qid, 'D' || CAST(conv_id AS VARCHAR) || ':' || CAST((turn + 1) % 4 AS VARCHAR) AS dia_id, NULL AS utterance FROM qa
+ UNION ALL SELECT conv_id, qid, 'N/A', 'see session_' || CAST(turn + 1 AS VARCHAR) || '_date_time' FROM qa)"""
 
 
 def _evidence(spark, sf):
-    qa = d.qa_items(spark, sf).where("turn < 2")
+    qa = d.qa_items(spark, sf)
     named = qa.select(F.col("conv_id").alias("record_idx"), "qid", F.concat(F.lit("D"), F.col("conv_id").cast("string"), F.lit(":"), ((F.col("turn") + 1) % 4).cast("string")).alias("dia_id"), F.lit(None).cast("string").alias("utterance"))
     times = qa.select(F.col("conv_id").alias("record_idx"), "qid", F.lit("N/A").alias("dia_id"), F.concat(F.lit("see session_"), (F.col("turn") + 1).cast("string"), F.lit("_date_time")).alias("utterance"))
     return named.unionByName(times)
@@ -203,6 +204,7 @@ def question_stem(spark, sf):
 EDGES = [
     "(A)", "[b]", "AB", "(A)(B)", "Bad", "The answer is (D)", "answer depends", "x (A) y (C)", "<think>no (B)</think> C", '{"answer": "B"}', '{"final_answer": " (C) "}', '{"response": ""}', "Final Answer: D", "  Because",
     "Error: timeout", "option c", "Option B is", "A. one", "b", "", "[A][B]", "F", "none of them", "```json\n{\"a\": 1}\n```", "junk {\"k\": \"it\\'s\"} tail", "choose: e", "a,b", "G",
+    "A\u00a0because", "option\u2003c", "The answer\u00a0is\u00a0D", "[\u00a0b\u00a0]",
 ]
 
 
@@ -250,17 +252,26 @@ def core_question(spark, sf):
     return _strings(spark, sf).select("id", F.md5(F.encode(text.core_question(marked), "utf-8")).alias("md5"))
 
 
+#: White space as Unicode has it, for an engine whose ``\\s`` is ASCII.
+WIDE_SPACE = r"\s\p{Z}\x{85}"
+
+
+def wide(pattern: str, head: str = "") -> str:
+    """A pattern of ``mcq`` with wide white space, as a quoted SQL text."""
+    spread = re.sub(r"\[\\s|\\s", lambda m: f"[{WIDE_SPACE}" + "]" * (m[0][0] != "["), pattern)
+    return f"'{head}{spread}'"
+
+
 def letters_sql(x: str) -> str:
-    full, one = f"regexp_matches({x}, '^[A-Fa-f]{{1,5}}$')", f"regexp_matches({x}, '^[\\[(]?\\s*[A-Fa-f]\\s*[\\])]?$')"
-    lead, phrase = r"(?i)^(?:option\s*)?([A-F])(?:[\s\)\]\.:,-]|$)", r"(?i)(?:answer|final answer|correct answer|choose|pick|option)\s*(?:is|:)?\s*[\[(]?([A-Fa-f])[\])]?"
-    bad = f"regexp_matches({x}, '\\([A-Fa-f]\\)\\([A-Fa-f]\\)|\\[[A-Fa-f]\\]\\[[A-Fa-f]\\]')"
-    token = r"(?i)\(([A-F])\)|\[([A-F])\]|option\s+([A-F])\b"
+    full, one = (f"regexp_full_match({x}, {wide(p)})" for p in (mcq.ONLY_LETTERS, mcq.ONE_LETTER))
+    bad = " OR ".join(f"regexp_matches({x}, {wide(p)})" for p in (mcq.TWO_ROUND, mcq.TWO_SQUARE))
+    lead, phrase, token = (wide(p, "(?i)") for p in (mcq.LEADING, mcq.PHRASE, mcq.TOKEN))
     return f"""CASE WHEN {x} = '' THEN '' WHEN {full} THEN array_to_string(list_sort(list_distinct(string_split(upper({x}), ''))), '') WHEN {one} THEN upper(regexp_extract({x}, '([A-Fa-f])', 1))
- WHEN {bad} THEN '' WHEN regexp_matches({x}, '{lead}') THEN upper(regexp_extract({x}, '{lead}', 1)) WHEN regexp_matches({x}, '{phrase}') THEN upper(regexp_extract({x}, '{phrase}', 1))
- ELSE array_to_string(list_sort(list_distinct(list_transform(regexp_extract_all({x}, '{token}', 0), lambda m: upper(regexp_extract(m, '([A-Fa-f])\\W*$', 1))))), '') END"""
+ WHEN {bad} THEN '' WHEN regexp_matches({x}, {lead}) THEN upper(regexp_extract({x}, {lead}, 1)) WHEN regexp_matches({x}, {phrase}) THEN upper(regexp_extract({x}, {phrase}, 1))
+ ELSE array_to_string(list_sort(list_distinct(list_transform(regexp_extract_all({x}, {token}, 0), lambda m: upper(regexp_extract(m, '([A-Fa-f])\\W*$', 1))))), '') END"""
 
 
-MALFORMED_SQL = """(NOT regexp_matches(s, '^[A-Fa-f]{1,5}$') AND NOT regexp_matches(s, '^[\\[(]?\\s*[A-Fa-f]\\s*[\\])]?$') AND regexp_matches(s, '\\([A-Fa-f]\\)\\([A-Fa-f]\\)|\\[[A-Fa-f]\\]\\[[A-Fa-f]\\]'))"""
+MALFORMED_SQL = f"(NOT regexp_full_match(s, {wide(mcq.ONLY_LETTERS)}) AND NOT regexp_full_match(s, {wide(mcq.ONE_LETTER)}) AND (regexp_matches(s, {wide(mcq.TWO_ROUND)}) OR regexp_matches(s, {wide(mcq.TWO_SQUARE)})))"
 
 
 @query(f"WITH {STRIPPED_SQL} SELECT id, {letters_sql('s')} AS letters, {MALFORMED_SQL} AS malformed FROM p")
@@ -392,26 +403,25 @@ def best_threshold(spark, sf):
 # Refinement
 
 
-REMOVED_SQL = f"{d.QA_SQL}, gone AS (SELECT DISTINCT substr(question, 1, 40) AS q_text FROM qa WHERE qid % 29 = 0 AND length(question) > 0)"
+REMOVED_SQL = f"{d.QA_SQL}, gone AS (SELECT DISTINCT question AS q_text FROM qa WHERE category = 1 AND length(question) > 0)"
 
 
 @query(f"WITH {REMOVED_SQL} SELECT qid FROM qa WHERE NOT EXISTS (SELECT 1 FROM gone WHERE contains(qa.question, q_text))")
 def remove_replaced(spark, sf):
     qa = d.qa_items(spark, sf)
-    return q.remove_replaced(qa, qa.where("qid % 29 = 0").select(F.substring("question", 1, 40).alias("q_text"))).select("qid")
+    return q.remove_replaced(qa, qa.where("category = 1").select(F.col("question").alias("q_text"))).select("qid")
 
 
-REFINED_SQL = f"""{d.QA_SQL}, refined AS (SELECT conv_id AS refined_idx, character, CASE WHEN conv_id % 4 = 0 THEN 'In which session ' ELSE 'Why ' END || CAST(conv_id AS VARCHAR) AS question,
- CASE conv_id % 3 WHEN 0 THEN 'memory_update' WHEN 1 THEN 'integrated_logic' ELSE 'other' END AS label, question AS original FROM qa WHERE turn = 0), new AS (SELECT * FROM refined WHERE NOT contains(question, 'session')),
+REFINED_SQL = f"""{d.QA_SQL}, refined AS (SELECT qid AS refined_idx, character, CASE WHEN qid % 4 = 0 THEN 'In which session ' ELSE 'Why ' END || CAST(qid AS VARCHAR) AS question,
+ CASE qid % 3 WHEN 0 THEN 'memory_update' WHEN 1 THEN 'integrated_logic' ELSE 'other' END AS label, question AS original FROM qa), new AS (SELECT * FROM refined WHERE NOT contains(question, 'session')),
  kept AS (SELECT 0 AS part, qid AS o, character, question, NULL AS label FROM qa WHERE NOT contains(question, 'session') AND NOT EXISTS (SELECT 1 FROM new WHERE label = 'memory_update' AND contains(qa.question, original))),
  merged AS (SELECT * FROM kept UNION ALL SELECT 1, refined_idx, character, question, CASE label WHEN 'memory_update' THEN '记忆更新' WHEN 'integrated_logic' THEN '事实提取（多对话）' ELSE label END FROM new)"""
 
 
 def _refined(spark, sf):
-    first = d.qa_items(spark, sf).where("turn = 0")
-    words = F.concat(F.when(F.col("conv_id") % 4 == 0, "In which session ").otherwise("Why "), F.col("conv_id").cast("string"))
-    label = F.when(F.col("conv_id") % 3 == 0, "memory_update").when(F.col("conv_id") % 3 == 1, "integrated_logic").otherwise("other")
-    return first.select(F.col("conv_id").alias("refined_idx"), "character", words.alias("question"), label.alias("label"), F.array("question").alias("original_qa"))
+    words = F.concat(F.when(F.col("qid") % 4 == 0, "In which session ").otherwise("Why "), F.col("qid").cast("string"))
+    label = F.when(F.col("qid") % 3 == 0, "memory_update").when(F.col("qid") % 3 == 1, "integrated_logic").otherwise("other")
+    return d.qa_items(spark, sf).select(F.col("qid").alias("refined_idx"), "character", words.alias("question"), label.alias("label"), F.array("question").alias("original_qa"))
 
 
 @query(f"WITH {REFINED_SQL} SELECT character, md5(question) AS question_md5, label, row_number() OVER (ORDER BY part, o, question) AS new_qid FROM merged")

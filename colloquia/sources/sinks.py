@@ -13,10 +13,16 @@ KEEP_NULLS = {"ignoreNullFields": "false"}
 
 
 def staged(df: DataFrame) -> DataFrame:
-    """Write a table to the folder in spark.checkpoint.dir and read it again; a temporary folder where none is set (tests)."""
+    """Write a table to the folder in spark.checkpoint.dir and read it again.
+
+    Where none is set, a local session (tests) takes a temporary folder; a cluster raises, for its
+    executors share no local folder.
+    """
     spark = df.sparkSession
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         root = tempfile.mkdtemp(prefix="colloquia-")
         spark.conf.set("spark.checkpoint.dir", root)
     path = f"{root.rstrip('/')}/colloquia/{uuid.uuid4().hex}"

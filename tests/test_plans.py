@@ -7,8 +7,8 @@ import pytest
 from colloquia.plans import catalogue
 
 BATCH = [n for n in catalogue.QUERIES if n != "running_blind_accuracy"]
-#: Joins without an equal key: one row with one row, and containment against a checked broadcast.
-KEYLESS = {"dataset_stats", "remove_replaced", "refine_merge"}
+#: Joins without an equal key: one row with one row.
+KEYLESS = {"dataset_stats"}
 #: Windows without a partition: over one row per record, per distinct name or per threshold.
 UNKEYED = {"session_renumber", "speaker_first_seen", "overlap_curve", "best_threshold"}
 
