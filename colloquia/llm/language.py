@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .bpe import slices
-from .common import fresh
+from .common import fresh, written
 
 UNKNOWN = "und"
 
@@ -30,6 +30,7 @@ class LanguageParams:
     min_share: float = 0.01  # of a language's sample documents that hold an n-gram
     ratio: float = 0.3  # an n-gram belongs to languages with this part of its largest relative frequency
     max_grams: int = 20_000  # most common n-grams kept per language: bounds the filter
+    max_languages: int = 256  # more labels raise: the filter has a bit slice for each
     slots_log2: int = 19
     probes: int = 3
 
@@ -95,53 +96,81 @@ def probes(grams: np.ndarray, params: LanguageParams):
 
 
 def labelled_sample(docs: DataFrame, text: str, id_col: str, lang: str, params: LanguageParams) -> DataFrame:
-    """At most sample_docs labelled rows (lang, text) per language, chosen by a hash of the id."""
-    names = docs.where(F.col(lang).isNotNull() & F.col(id_col).isNotNull()).select(F.col(id_col).alias("i"), F.col(lang).alias("l"), F.xxhash64(F.lit(11), id_col).alias("h"))
-    counts = {r["l"]: r["n"] for r in names.groupBy("l").agg(F.count("*").alias("n")).collect()}
+    """At most sample_docs labelled rows (l, t) per language, chosen by a hash of id and text.
+
+    Rows that share id and text are one row; rows that share an id but not the text are told apart.
+    A language with fewer rows keeps them all. Rows without label, text or id teach nothing.
+    """
+    labelled = docs.where(F.col(lang).isNotNull() & F.col(id_col).isNotNull())
+    ids = labelled.groupBy(F.col(lang).cast("string").alias("l")).agg(F.approx_count_distinct(id_col).alias("n"))
+    counts = {r["l"]: r["n"] for r in ids.limit(params.max_languages + 1).collect()}
+    if len(counts) > params.max_languages:
+        raise ValueError(f"more than {params.max_languages} languages are labelled")
+    # Different ids are no more than different rows, so the rate leaves enough of them; it only spares the ranking work.
     rate = F.lit(1.0)
     for name, n in counts.items():
-        rate = F.when(F.col("l") == name, min(1.0, 2 * params.sample_docs / n + 20 / n)).otherwise(rate)
-    near = names.where(F.pmod("h", F.lit(1_000_000)) < rate * 1_000_000)
-    ranked = near.withColumn("r", F.row_number().over(Window.partitionBy("l").orderBy("h", "i"))).where(F.col("r") <= params.sample_docs)
-    chosen = ranked.select("i", "l").distinct()  # sample_docs rows per language at most
-    return docs.select(F.col(id_col).alias("i"), F.col(lang).alias("l"), F.col(text).alias("t")).join(F.broadcast(chosen), ["i", "l"])
+        rate = F.when(F.col("l") == name, min(1.0, (3 * params.sample_docs + 30) / n)).otherwise(rate)
+    rows = labelled.where(F.col(text).isNotNull()).select(F.col(lang).cast("string").alias("l"), F.col(text).alias("t"), F.xxhash64(F.lit(11), F.col(id_col), F.col(text)).alias("h"))
+    near = rows.where(F.pmod("h", F.lit(1_000_000)) < rate * 1_000_000)
+    first = Window.partitionBy("l").orderBy("h")
+    return near.dropDuplicates(["l", "h"]).withColumn("r", F.row_number().over(first)).where(F.col("r") <= params.sample_docs).select("l", "t")
 
 
-def train(docs: DataFrame, params: LanguageParams = LanguageParams(), text: str = "text", id_col: str = "doc_id", lang: str = "lang") -> LanguageModel:
-    """Fit the filters on the labelled rows of ``docs``; rows without label teach nothing."""
+def gram_counts(sample: DataFrame, params: LanguageParams) -> DataFrame:
+    """(l, g, n, d) of the sample's rows (l, t): how often a language's rows hold an n-gram, and how many do."""
 
     def count(batches):
         grams = Grams(params.gram)
         for batch in slices(batches, "t"):
             held: dict[str, list] = {}
             for name, value in zip(batch.column("l").to_pylist(), batch.column("t"), strict=True):
-                for part in pieces(value.as_py() or ""):
-                    held.setdefault(name, []).append(np.unique(grams.of(part), return_counts=True))
+                parts = [np.unique(grams.of(part), return_counts=True) for part in pieces(value.as_py())]
+                if parts:
+                    held.setdefault(name, []).append(_merged(parts)[:2])
             for name, parts in held.items():
-                keys, where = np.unique(np.concatenate([p[0] for p in parts]), return_inverse=True)
-                times = np.bincount(where, np.concatenate([p[1] for p in parts]), len(keys)).astype(np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array([name] * len(keys), pa.string()), pa.array(keys.view(np.int64)), pa.array(times), pa.array(np.bincount(where, minlength=len(keys)))], names=["l", "g", "n", "d"])
-
-    sample = labelled_sample(docs, text, id_col, lang, params)
-    counted = sample.select(F.col("l").cast("string").alias("l"), "t").mapInArrow(count, "l string, g long, n long, d long").groupBy("l", "g").agg(F.sum("n").alias("n"), F.sum("d").alias("d"))
-    top = counted.withColumn("r", F.row_number().over(Window.partitionBy("l").orderBy(F.desc("n"), "g"))).where(F.col("r") <= 4 * params.max_grams)
-    rows = top.select("l", "g", "n", "d").toPandas()
-    sampled = {r["l"]: r["n"] for r in sample.groupBy(F.col("l").cast("string").alias("l")).agg(F.count("*").alias("n")).collect()}
-    languages = sorted(rows["l"].unique())
+                keys, times, rows = _merged(parts)
+                yield pa.RecordBatch.from_arrays([pa.array([name] * len(keys), pa.string()), pa.array(keys.view(np.int64)), pa.array(times), pa.array(rows)], names=["l", "g", "n", "d"])
+
+    return sample.mapInArrow(count, "l string, g long, n long, d long").groupBy("l", "g").agg(F.sum("n").alias("n"), F.sum("d").alias("d"))
+
+
+def _merged(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(keys, sums of counts, number of parts that hold the key)"""
+    keys, where = np.unique(np.concatenate([p[0] for p in parts]), return_inverse=True)
+    times = np.bincount(where, np.concatenate([p[1] for p in parts]), len(keys)).astype(np.int64)
+    return keys, times, np.bincount(where, minlength=len(keys))
+
+
+def members(counted: DataFrame, sizes: DataFrame, params: LanguageParams) -> DataFrame:
+    """(l, g) of the n-grams that belong to each language. sizes: (l, rows) of the sample.
+
+    An n-gram belongs to a language if min_share of its sampled rows hold it and its relative
+    frequency there is at least ``ratio`` of the largest in any language; of those the max_grams
+    most frequent are kept.
+    """
+    total = Window.partitionBy("l")
+    shared = counted.join(F.broadcast(sizes), "l").withColumn("share", F.col("n") / F.sum("n").over(total))
+    top = shared.withColumn("top", F.max("share").over(Window.partitionBy("g")))
+    own = top.where((F.col("d") >= params.min_share * F.col("rows")) & (F.col("share") >= params.ratio * F.col("top")))
+    return own.withColumn("r", F.row_number().over(total.orderBy(F.desc("share"), "g"))).where(F.col("r") <= params.max_grams).select("l", "g")
+
+
+def train(docs: DataFrame, params: LanguageParams = LanguageParams(), text: str = "text", id_col: str = "doc_id", lang: str = "lang") -> LanguageModel:
+    """Fit the filters on the labelled rows of ``docs``.
+
+    The driver gathers the members alone, max_grams (16 bytes each) of max_languages at most. A language of
+    which no sampled row has a letter is not learned.
+    """
+    sample = written(labelled_sample(docs, text, id_col, lang, params))
+    sizes = sample.groupBy("l").agg(F.count("*").alias("rows"))
+    rows = members(gram_counts(sample, params), sizes, params).toArrow()
+    names, keys = rows.column("l").combine_chunks().dictionary_encode(), rows.column("g").to_numpy().view(np.uint64)
+    languages = sorted(names.dictionary.to_pylist())
+    place = np.array([languages.index(x) for x in names.dictionary.to_pylist()], np.int64)
+    own = place[names.indices.to_numpy(zero_copy_only=False)] if languages else np.empty(0, np.int64)
     slots = [np.zeros(1 << params.slots_log2, np.uint64) for _ in range((len(languages) + 63) // 64)]
-    keys = np.unique(rows["g"].to_numpy())
-    share = np.zeros((len(languages), len(keys)))
-    common = np.zeros((len(languages), len(keys)), bool)
-    for i, name in enumerate(languages):
-        own = rows[rows["l"] == name]
-        at = np.searchsorted(keys, own["g"].to_numpy())
-        share[i, at] = own["n"].to_numpy() / own["n"].sum()
-        common[i, at] = own["d"].to_numpy() >= max(min(2, sampled[name]), params.min_share * sampled[name])
-    member = common & (share >= params.ratio * share.max(axis=0, initial=0)) if languages else common
     for i in range(len(languages)):
-        own = np.flatnonzero(member[i])
-        own = own[np.argsort(-share[i, own], kind="stable")][: params.max_grams]
-        for p in probes(keys[own].view(np.uint64), params):
+        for p in probes(keys[own == i], params):
             slots[i // 64][p] |= np.uint64(1 << (i % 64))
     filled = np.array([np.mean(slots[i // 64] >> np.uint64(i % 64) & np.uint64(1)) for i in range(len(languages))])
     return LanguageModel(params, languages, slots, filled**params.probes)
@@ -182,15 +211,17 @@ class Identifier:
         return self.m.languages[order[0]], float(best / (best + second)) if best else 0.0, float(min(1.0, best / n))
 
 
-def identify(docs: DataFrame, model: LanguageModel, text: str = "text", out: str = "lang_pred") -> DataFrame:
+def identify(docs: DataFrame, model: LanguageModel, text: str = "text", out: str = "lang_pred", score: str = "score", share: str = "share") -> DataFrame:
     """Add ``out`` (a learned language, or ``und`` for null text and text without a letter), ``score`` and ``share``.
 
     score is the best language's part of the two largest corrected popcounts, from 0 to 1; share
     the part of n-grams that the best language contains. A model without languages answers und.
-    Other columns stay, but for any of the added names.
+    Other columns stay, but for any of the added names, whatever their case.
     """
-    docs = docs.drop(*[c for c in (out, "score", "share") if c in docs.columns])
-    hold, columns = fresh(docs, "t"), docs.columns
+    value = F.col(text)
+    hold = fresh(docs, "t")
+    docs = docs.withColumn(hold, value).drop(out, score, share)
+    columns = [c for c in docs.columns if c != hold]
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):
@@ -198,7 +229,7 @@ def identify(docs: DataFrame, model: LanguageModel, text: str = "text", out: str
         for batch in slices(batches, hold):
             got = [judge(v.as_py()) for v in batch.column(hold)]
             new = [pa.array([g[i] for g in got], kind) for i, kind in enumerate((pa.string(), pa.float64(), pa.float64()))]
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in columns), *new], names=[*columns, out, "score", "share"])
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in columns), *new], names=[*columns, out, score, share])
 
-    schema = docs.limit(0).schema.add(out, "string").add("score", "double").add("share", "double")
-    return docs.withColumn(hold, F.col(text)).mapInArrow(run, schema)
+    schema = docs.drop(hold).limit(0).schema.add(out, "string").add(score, "double").add(share, "double")
+    return docs.mapInArrow(run, schema)

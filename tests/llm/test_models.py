@@ -41,8 +41,9 @@ def test_language_edges(spark):
     m = language.train(docs, language.LanguageParams(sample_docs=50))
     assert m.languages == ["de", "en"]
     odd = [(1, None), (2, ""), (3, "123 --- 456 !"), (4, "The dog!"), (4, "DER HUND"), (5, "the and " * 200_000), (None, "und die"), (6, "é")]
-    got = language.identify(spark.createDataFrame([(*r, 0.1, "z") for r in odd], "doc_id long, text string, score double, _t string"), m)
+    got = language.identify(spark.createDataFrame([(*r, 0.1, "z", 9) for r in odd], "doc_id long, text string, Score double, _t string, SHARE int"), m)
     assert got.columns == ["doc_id", "text", "_t", "lang_pred", "score", "share"]
+    assert {r._t for r in got.collect()} == {"z"}
     assert [r.lang_pred for r in got.collect()][:7] == ["und", "und", "und", "en", "de", "en", "de"]
     assert got.collect()[7].lang_pred in ("de", "en")
     nothing = language.train(docs.where("false"))
