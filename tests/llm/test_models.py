@@ -1,7 +1,9 @@
 """Operators 4 and 5: held-out accuracy, plain restatements, edge cases."""
 
 import hashlib
+import random
 import re
+import time
 import zlib
 from itertools import product
 
@@ -63,7 +65,7 @@ def test_more_than_64_languages():
 
 def plain_spans(t):
     out = [(m.start(), 0, "email", m.end()) for m in re.finditer(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", t)]
-    out += [(m.start(), 1, "ip", m.end()) for m in re.finditer(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", t) if all(int(x) <= 255 for x in m[0].split("."))]
+    out += [(m.start(), 1, "ip", m.end()) for m in re.finditer(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", t) if all(len(x.lstrip("0")) < 4 and int("0" + x[-3:]) <= 255 for x in m[0].split("."))]
 
     def luhn(d):
         d = [int(c) for c in d][::-1]
@@ -83,17 +85,42 @@ def test_pii(spark, tmp_path):
         (90003, "+1 (988) 555-2485 +12 34 +1 (826) 555-4081 190.137.2.9"), (90003, None), (90004, ""), (90005, "x" * 100_000 + " 7" * 400), (90006, "ü" * 50 + " a@b.c"), (90007, "9" * 5000 + ".1.1.1"),
     ]
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text").unionByName(spark.createDataFrame(odd, "doc_id long, text string"))
-    docs.selectExpr("*", "'x' as spans", "1 as _t").write.parquet(str(tmp_path / "documents.parquet"))
-    got = {(r.doc_id or -1, r.n_email, r.n_ip, r.n_card, r.n_phone, r.base_sha256): r for r in queries.op5_pii(spark, str(tmp_path)).collect()}
+    docs.selectExpr("*", "'x' as Spans", "1 as _t").write.parquet(str(tmp_path / "documents.parquet"))
+    key = lambda r: -1 if r.doc_id is None else r.doc_id
+    got = {(key(r), r.n_email, r.n_ip, r.n_card, r.n_phone, r.base_sha256): r for r in queries.op5_pii(spark, str(tmp_path)).collect()}
     assert len(got) == docs.count()
     for r in docs.collect():
-        if r.doc_id != 90007:
-            spans = plain_spans(r.text or "")
-            text = ",".join(f"{k}:{a}:{b}" for a, _, k, b in spans)
-            key = (r.doc_id or -1, *(sum(s[1] == k for s in spans) for k in range(4)), hashlib.sha256(text.encode()).hexdigest())
-            assert key in got or r.doc_id == 0, r
-            if key in got and r.doc_id is not None:
-                assert set(text.split(",")) <= set(got[key].spans.split(",")) or not text
+        spans = plain_spans(r.text or "")
+        text = ",".join(f"{k}:{a}:{b}" for a, _, k, b in spans)
+        own = got[(key(r), *(sum(s[1] == k for s in spans) for k in range(4)), hashlib.sha256(text.encode()).hexdigest())]
+        assert set(text.split(",")) <= set(own.spans.split(",")) or not text
+
+
+def test_base_patterns_equal_the_plain_ones():
+    rng = random.Random(5)
+    for alphabet in ("a1.@-", "a@.", "1. -+()", "0123.4", "+1 (-.9é@x"):
+        for _ in range(4000):
+            text = "".join(rng.choice(alphabet) for _ in range(rng.randint(0, 40)))
+            assert pii.base_spans(text) == plain_spans(text), text
+
+
+def test_spans_that_overlap_base_ones_go():
+    rng = random.Random(6)
+    for _ in range(500):
+        some = [sorted((a := rng.randint(0, 60), 0, "ip", a + rng.randint(1, 9)) for _ in range(rng.randint(0, 6))) for _ in range(2)]
+        assert pii.apart(some[0], some[1]) == [s for s in some[0] if not any(s[0] < b[3] and b[0] < s[3] for b in some[1])]
+
+
+@pytest.mark.parametrize("piece", ["7", "a", "a@", "@a", "a.", "1.", "1.2.", "+1 ", "+", "a-b.", "7 ", "a@b.c ", "1.2.3.4 ", "é@", "(826) 555-4081 ", "@a.", "x@b.c\n"])
+def test_long_texts_take_linear_time(model, piece):
+    text = piece * (1_000_000 // len(piece))
+    for value in (text, text + "@b.c", "a" + text + "@", text + ".1.1.1"):
+        began = time.process_time()
+        pii.base_spans(value)
+        assert time.process_time() - began < 6
+    began = time.process_time()
+    pii.find_spans(model, [text[:300_000]])
+    assert time.process_time() - began < 20
 
 
 def test_crf_adds_and_redacts(model):
