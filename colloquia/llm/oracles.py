@@ -49,12 +49,19 @@ def jaccard() -> str:
  SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, c.r AS component_id FROM d LEFT JOIN n USING (doc_id) JOIN (SELECT id, min(r) AS r FROM reach GROUP BY id) c ON c.id = d.doc_id"""
 
 
+#: The line wording of operator 7 in plain form, for an engine whose patterns always take linear time.
+BOILERPLATE = (
+    r"(?i)(licen[sc]ed under|under the [a-z0-9 .-]*licen[sc]e|all rights reserved|copyright \(c\)|creative commons"
+    r"|cookie policy|privacy policy|terms of (use|service)|subscribe to our|javascript is disabled)"
+)
+
+
 def quality_rules() -> str:
     r = quality.QualityRules()
     solid = r"regexp_replace(line, '[\x20\x09-\x0D]+', '', 'g')"
     stub = r"[.!?:;…。！？][\x20\x09-\x0D\"')\]»”]*$"
     fails = f"""(length({solid}) > 0 AND (length(regexp_replace({solid}, '[^#*$%&|<>!]+', '', 'g')) * 100 > length({solid}) * {r.max_symbol_percent}
- OR length(regexp_replace({solid}, '[^|]+', '', 'g')) * 100 > len({WORDS.format(text="line")}) * {r.max_pipe_percent} OR regexp_matches(line, {quoted(quality.BOILERPLATE)})
+ OR length(regexp_replace({solid}, '[^|]+', '', 'g')) * 100 > len({WORDS.format(text="line")}) * {r.max_pipe_percent} OR regexp_matches(line, {quoted(BOILERPLATE)})
  OR (len({WORDS.format(text="line")}) < {r.stub_words} AND NOT regexp_matches(line, {quoted(stub)}))))"""
     return f"""WITH d AS (SELECT doc_id, coalesce(text, '') AS t, {WORDS.format(text="coalesce(text, '')")} AS w FROM documents),
  win AS (SELECT doc_id, i, array_to_string(w[i:i + {r.window - 1}], ' ') AS g FROM (SELECT doc_id, w, unnest(range(1, len(w) - {r.window - 2})) AS i FROM d)),

@@ -15,9 +15,10 @@ from pyspark.sql import functions as F
 
 from .common import let, words_of
 
-#: Wording of licence, rights and consent lines.
+#: Wording of licence, rights and consent lines. ``under the ... license`` is looked for from the start of a run
+#: of its characters and takes the run's first ``under the``, so a line is passed once.
 BOILERPLATE = (
-    r"(?i)(licen[sc]ed under|under the [a-z0-9 .-]*licen[sc]e|all rights reserved|copyright \(c\)|creative commons"
+    r"(?i)(licen[sc]ed under|(?<![a-z0-9 .-])(?>[a-z0-9 .-]*?under the )[a-z0-9 .-]*licen[sc]e|all rights reserved|copyright \(c\)|creative commons"
     r"|cookie policy|privacy policy|terms of (use|service)|subscribe to our|javascript is disabled)"
 )
 SYMBOLS = r"[#*$%&|<>]"
