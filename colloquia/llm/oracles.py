@@ -85,10 +85,28 @@ def substrings(length: int = 20) -> str:
  SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, len(w) - coalesce(n, 0) AS n_removed, sha256(coalesce(t, '')) AS kept_sha256 FROM d LEFT JOIN kept USING (doc_id)"""
 
 
+def decontaminate() -> str:
+    """Each window laid around a shared shingle, against each item of its length, without fingerprints."""
+    grams = "CASE WHEN len({w}) < 5 THEN [array_to_string({w}, ' ')] ELSE list_transform(range(1, len({w}) - 3), lambda i: array_to_string({w}[i:i + 4], ' ')) END"
+    seeds = "CASE WHEN len({w}) < {k} THEN [] ELSE list_transform(range(1, len({w}) - {k} + 2), lambda i: array_to_string({w}[i:i + {k} - 1], ' ')) END"
+    return f"""WITH d AS (SELECT DISTINCT doc_id, text, {WORDS.format(text="lower(coalesce(text, ''))")} AS w FROM documents),
+ b AS (SELECT DISTINCT item_id, w, len(w) AS m, least(len(w), 5) AS k FROM (SELECT item_id, {WORDS.format(text="lower(coalesce(text, ''))")} AS w FROM benchmark) WHERE len(w) > 0),
+ bs AS (SELECT m, k, unnest(s) AS g, generate_subscripts(s, 1) AS p FROM (SELECT m, k, {seeds.format(w="w", k="k")} AS s FROM b)),
+ ds AS (SELECT doc_id, text, len(w) AS n, k, unnest(s) AS g, generate_subscripts(s, 1) AS p FROM (SELECT d.*, k, {seeds.format(w="w", k="k")} AS s FROM d, (SELECT DISTINCT k FROM b))),
+ laid AS (SELECT DISTINCT doc_id, text, m, greatest(0, least(ds.p - bs.p, n - m)) AS s0 FROM ds JOIN bs USING (k, g)),
+ win AS (SELECT row_number() OVER () AS id, doc_id, text, s0, m, {grams.format(w="ww")} AS g FROM (SELECT doc_id, text, s0, m, w[s0 + 1:s0 + m] AS ww FROM laid JOIN d USING (doc_id, text))),
+ it AS (SELECT row_number() OVER () AS i, item_id, m, {grams.format(w="w")} AS g FROM b),
+ wc AS (SELECT id, m, x, count(*) AS c FROM (SELECT id, m, unnest(g) AS x FROM win) GROUP BY ALL), ic AS (SELECT i, m, x, count(*) AS c FROM (SELECT i, m, unnest(g) AS x FROM it) GROUP BY ALL),
+ met AS (SELECT id, i, sum(least(wc.c, ic.c)) AS s FROM wc JOIN ic USING (m, x) GROUP BY id, i),
+ good AS (SELECT doc_id, text, item_id, s0, id, CAST(s AS DOUBLE) / (len(win.g) + len(it.g) - s) AS similarity FROM met JOIN win USING (id) JOIN it USING (i) WHERE CAST(s AS DOUBLE) / (len(win.g) + len(it.g) - s) >= 0.8)
+ SELECT doc_id, item_id, count(DISTINCT id) AS n_windows, CAST(arg_min(s0, {{'a': -similarity, 'b': s0}}) AS INTEGER) AS at_word, round(max(similarity), 9) AS similarity FROM good GROUP BY doc_id, text, item_id"""
+
+
 ORACLES = {
     "op1_chat_format": chat(),
     "op2_secret_scan": secret_scan(),
     "op6_jaccard_join": jaccard(),
     "op7_quality_rules": quality_rules(),
+    "op8_decontaminate": decontaminate(),
     "op9_substring_dedup": substrings(),
 }

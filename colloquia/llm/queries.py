@@ -82,7 +82,7 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     leaks = decontaminate.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
-    return leaks.select("doc_id", "item_id", "n_windows", "at_word", "similarity")
+    return leaks.select("doc_id", "item_id", "n_windows", "at_word", F.round("similarity", 9).alias("similarity"))
 
 
 def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -70,14 +70,32 @@ def test_edges(spark):
     assert sorted((r.doc_id or -1, r.item_id, round(r.similarity, 6)) for r in decontaminate.find_leaks(d, i, many).collect()) == got
 
 
-def test_blocks_guarantee_the_radius(spark):
+def test_index_guarantees_the_radius(spark):
     rng = np.random.default_rng(4)
+    p = decontaminate.LeakParams()
     rows = []
-    for n in range(200):
+    for n in range(60):
         x = int(rng.integers(-(2**63), 2**63 - 1))
-        flips = rng.choice(64, 15, replace=False)
+        flips = rng.choice(64, p.radius, replace=False)
         y = (x & (2**64 - 1)) ^ sum(1 << int(f) for f in flips)
         rows.append((n, x, y - 2**64 if y >= 2**63 else y))
     df = spark.createDataFrame(rows, "n int, x long, y long")
-    both = df.select(decontaminate.F.arrays_overlap(decontaminate.block_keys(df.x, 16), decontaminate.block_keys(df.y, 16)).alias("hit"))
-    assert both.where("hit").count() == 200
+    index = decontaminate.indexed(df.select("n", "x"), "x", p)
+    assert index.where("n = 0").count() == 10_068
+    asked = df.select("n", decontaminate.F.explode(decontaminate.block_keys(df.y, p.blocks)).alias("key"))
+    assert asked.join(index, ["n", "key"]).select("n").distinct().count() == 60
+
+
+def test_columns_may_clash(spark):
+    item = " ".join(f"w{i}" for i in range(30))
+    docs = spark.createDataFrame([(1, "x " + item, 5, 6, 7, "a"), (2, "clean text", 8, 9, 10, "b")], "doc_id long, text string, _leak_id int, _leak_hash int, text_hash int, W string")
+    bench = spark.createDataFrame([(1, item)], "item_id long, text string")
+    kept = decontaminate.drop_leaks(docs, decontaminate.find_leaks(docs, bench))
+    assert kept.columns == docs.columns and [tuple(r) for r in kept.collect()] == [(2, "clean text", 8, 9, 10, "b")]
+
+
+def test_long_item_with_repeats(spark):
+    item = " ".join(["a b c d e f"] * 300)
+    docs = spark.createDataFrame([(1, item), (2, "a b c d e f " * 280)], "doc_id long, text string")
+    got = decontaminate.find_leaks(docs, spark.createDataFrame([(1, item)], "item_id long, text string"))
+    assert sorted((r.doc_id, round(r.similarity, 3)) for r in got.collect()) == [(1, 1.0), (2, 0.933)]

@@ -10,7 +10,7 @@ duckdb = pytest.importorskip("duckdb")
 @pytest.mark.parametrize("name", list(queries.ORACLES))
 def test_query(spark, sf_dir, name):
     con = duckdb.connect()
-    for t in ("documents", "conversations"):
+    for t in ("documents", "conversations", "benchmark"):
         con.execute(f"create view {t} as select * from '{sf_dir}/{t}.parquet'")
     df = queries.QUERIES[name](spark, sf_dir)
     want = con.execute(queries.ORACLES[name])
