@@ -40,9 +40,14 @@ def fresh(df: DataFrame, stem: str) -> str:
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder of this cluster; one of our own only where none is set (tests)."""
+    """The shared folder of this cluster; where none is set, a local session (tests) takes a temporary one.
+
+    A cluster without it raises: its executors share no local folder.
+    """
     directory = spark.conf.get("spark.checkpoint.dir", None)
     if not directory:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         import tempfile
 
         directory = tempfile.mkdtemp(prefix="colloquia-checkpoint-")

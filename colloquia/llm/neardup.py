@@ -7,14 +7,15 @@ upper corners, for whole subtrees. Pairs that survive the bound are verified on
 Points of unlike texts of one length lie close together in every coordinate, so boxes over a
 whole corpus prune next to nothing (figures in the README). The trees are therefore built
 within blocks of sets that agree on a few least hashes; a linked pair shares no block with a
-probability below 1e-10 (at 80 percent below 1e-7). Equal sets are one node throughout. Within a block all nodes are first
+probability below 1e-10 (at 80 percent below 1e-7). Large blocks of sets that don't link are cut
+finer, by more least hashes. Equal sets are one node throughout. Within a block all nodes are first
 tried against one leader, then components against the largest one; only nodes of components
 that are still apart are compared further, all with all.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -39,7 +40,9 @@ class JaccardParams:
     bands: int = 32
     rows: int = 4  # least hashes per band
     star_rounds: int = 3  # tries of each block's components against one of them, before all pairs
-    block: int = 4096  # points that one tree holds; larger blocks are split into pairs of parts
+    block: int = 4096  # points that one tree holds; larger blocks are cut finer, what is still larger is split into pairs of parts
+    fine_bands: int = 96  # bands of the sets in such blocks; a pair at 85 percent shares none with a probability of 6e-14
+    fine_rows: int = 8
     broadcast_ids: int = 50_000  # sets to fetch up to this count are broadcast as ids; beyond, texts are joined by a shuffle
 
     @property
@@ -63,9 +66,9 @@ def shingle_set(text: str, k: int, hashes: WordHashes) -> np.ndarray:
 
 
 class Signer:
-    def __init__(self, params: JaccardParams):
+    def __init__(self, params: JaccardParams, seed: int = 20_240):
         self.p = params
-        rng = np.random.default_rng(20_240)
+        rng = np.random.default_rng(seed)
         self.a = (rng.integers(0, 2**32, params.bands * params.rows, np.uint64) | np.uint64(1)).astype(np.uint32)[:, None]
         self.b = rng.integers(0, 2**32, params.bands * params.rows, np.uint64).astype(np.uint32)[:, None]
         self.salt = rng.integers(0, 2**63, params.bands, np.uint64)
@@ -263,16 +266,43 @@ def component_stars(blocks: DataFrame, stars: DataFrame, salt: int) -> DataFrame
     return pairs.select(F.least("node", "x").alias("u"), F.greatest("node", "x").alias("v")).distinct()
 
 
+def mixed(blocks: DataFrame, stars: DataFrame) -> DataFrame:
+    """(band, m) of the blocks that hold more than one component, with their number of nodes."""
+    return labelled(blocks, stars).groupBy("band").agg(F.min("comp").alias("a"), F.max("comp").alias("z"), F.count("*").alias("m")).where("a < z").select("band", "m")
+
+
+def finer_blocks(blocks: DataFrame, nodes: DataFrame, docs: DataFrame, stars: DataFrame, p: JaccardParams) -> DataFrame:
+    """``blocks`` with finer ones in the place of those that hold more than one component and over ``block`` nodes.
+
+    Sets of such a block agree on more least hashes before they meet again, so a block of many
+    sets that look alike but don't link costs its size, not its square.
+    """
+    crowded = written(mixed(blocks, stars).where(F.col("m") > p.block).select("band"))
+    if crowded.isEmpty():
+        return blocks
+    deep = replace(p, bands=p.fine_bands, rows=p.fine_rows)
+
+    def run(batches):
+        signer = Signer(deep, 40_480)
+        for batch in batches:
+            for node, own in zip(batch.column("id").to_pylist(), batch.column("shingles"), strict=True):
+                keys = signer.keys(own.values.to_numpy().view(np.uint64))
+                yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(np.full(len(keys), node))], names=["band", "id"])
+
+    inside = blocks.join(crowded, "band", "left_semi").select("id").distinct()
+    fine = written(sets_of(inside, nodes, docs, p).mapInArrow(run, "band long, id long"))
+    several = fine.groupBy("band").agg(F.count("*").alias("m")).where("m > 1").select("band")
+    return written(blocks.join(crowded, "band", "left_anti").select("band", "id").unionByName(fine.join(several, "band", "left_semi")))
+
+
 def mixed_blocks(blocks: DataFrame, nodes: DataFrame, stars: DataFrame, p: JaccardParams) -> DataFrame:
     """Pairs (u, v) of different components within blocks, through trees over their points."""
     comp = labelled(blocks, stars).join(nodes.select("id", "n", "counts"), "id")
-    several = comp.groupBy("band").agg(F.min("comp").alias("a"), F.max("comp").alias("z"), F.count("*").alias("m")).where("a < z")
     parts = F.ceil(F.col("m") / p.block).cast("int")
-    dealt = comp.join(several.select("band", parts.alias("parts")), "band").withColumn("own", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int"))
+    dealt = comp.join(mixed(blocks, stars).select("band", parts.alias("parts")), "band").withColumn("own", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int"))
     dealt = dealt.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
     dealt = dealt.withColumns({"x": F.least("own", "with"), "y": F.greatest("own", "with")}).select("band", "x", "y", "id", "comp", "n", "counts")
-    count = int(blocks.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = dealt.repartition(count, "band", "x", "y").sortWithinPartitions("band", "x", "y")
+    dealt = dealt.repartition("band", "x", "y").sortWithinPartitions("band", "x", "y")
 
     def run(batches):
         rest = None
@@ -322,6 +352,7 @@ def link_rows(docs: DataFrame, params: JaccardParams = JaccardParams(), text: st
         new = written(component_stars(blocks, stars, salt).join(tried, ["u", "v"], "left_anti"))
         stars = components(stars.unionByName(verified(new, nodes, keyed, p)))
         tried = tried.unionByName(new)
+    blocks = finer_blocks(blocks, nodes, keyed, stars, p)
     more = mixed_blocks(blocks, nodes, stars, p).join(tried, ["u", "v"], "left_anti")
     links = written(verified(more, nodes, keyed, p))
     if not links.isEmpty():

@@ -73,6 +73,20 @@ def test_chains(spark, length, edits):
         assert got(neardup.link_components(spark.createDataFrame(rows, "doc_id long, text string"), params)) == plain(rows)
 
 
+def test_many_sets_that_look_alike_but_do_not_link(spark):
+    """Forms of one template, filled in differently: blocks are large and nothing in them links but a few pairs."""
+    rng = random.Random(8)
+    form = [f"t{i}" for i in range(120)]
+    rows = [(i, " ".join(form[:at] + [f"f{rng.randrange(10**6)}" for _ in range(8)] + form[at:])) for i, at in ((i, rng.randrange(20, 100)) for i in range(300))]
+    rows = [(i, " ".join(w if rng.random() > 0.04 else f"z{rng.randrange(10**6)}" for w in t.split())) for i, t in rows]
+    rows += [(1000 + i, rows[i][1] + " end") for i in range(5)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    want = plain(rows)
+    assert 5 <= sum(k != c for k, _, c in want) < 60
+    for params in (neardup.JaccardParams(block=20), neardup.JaccardParams(block=20, fine_rows=1, fine_bands=32, broadcast_ids=0)):
+        assert got(neardup.link_components(docs, params)) == want
+
+
 def test_edges(spark):
     rows = [(1, None), (2, ""), (3, " \n"), (4, "A b"), (5, "a B"), (6, "a b c"), (7, "a b c d"), (8, "a\x0bb\tc  D"), (9, "é É b c"), (9, "other text entirely here now"), (10, "é É B c"), (10, None), (12, "x " * 40_000)]
     df = spark.createDataFrame([(*r, 1, "q") for r in rows], "doc_id long, text string, n int, counts string")
