@@ -15,7 +15,7 @@ from re import _parser as P
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import fresh, let
+from .common import let
 
 MAX_STRINGS = 64
 
@@ -118,21 +118,21 @@ def trigram_query(pattern: str) -> list[frozenset[str]]:
     return best
 
 
-def postings(docs: DataFrame, id_col: str, text: str, trigrams: list[str]) -> DataFrame:
-    """Inverted index (trigram, doc): one posting for each named trigram that a lower-cased text holds."""
-    low = docs.select(F.col(id_col).alias("doc"), F.lower(F.col(text)).alias("t"))
+def postings(docs: DataFrame, keys: list[str], text: str, trigrams: list[str]) -> DataFrame:
+    """Inverted index (trigram, keys): one posting for each named trigram that a lower-cased text holds."""
+    low = docs.select(*keys, F.lower(F.col(text)).alias("t"))
     held = F.array_compact(F.array(*[F.when(F.contains("t", F.lit(g)), F.lit(g)) for g in trigrams]))
-    return low.select(F.explode(held).alias("trigram"), "doc")
+    return low.select(*keys, F.explode(held).alias("trigram"))
 
 
-def candidates(index: DataFrame, queries: dict[str, list[frozenset[str]]]) -> DataFrame:
-    """(doc, kinds): intersect postings per alternative, unite alternatives per rule.
+def candidates(index: DataFrame, keys: list[str], queries: dict[str, list[frozenset[str]]]) -> DataFrame:
+    """(keys, kinds): intersect postings per alternative, unite alternatives per rule.
 
     Postings are reduced to one row per document before the shuffle; the trigram count is fixed
     by the rules, so a row stays small whatever the text.
     """
     flags = sorted({g for q in queries.values() for s in q for g in s})
-    seen = index.groupBy("doc").agg(*[F.bool_or(F.col("trigram") == g).alias(f"g{i}") for i, g in enumerate(flags)])
+    seen = index.groupBy(*keys).agg(*[F.bool_or(F.col("trigram") == g).alias(f"g{i}") for i, g in enumerate(flags)])
     at = {g: F.col(f"g{i}") for i, g in enumerate(flags)}
 
     def holds(query):
@@ -145,7 +145,7 @@ def candidates(index: DataFrame, queries: dict[str, list[frozenset[str]]]) -> Da
         return some
 
     kinds = F.array_compact(F.array(*[F.when(holds(q), F.lit(k)) for k, q in queries.items()]))
-    return seen.select("doc", kinds.alias("kinds")).where(F.size("kinds") > 0)
+    return seen.select(*keys, kinds.alias("kinds")).where(F.size("kinds") > 0)
 
 
 def spans_of(text: Column, rule: SecretRule) -> Column:
@@ -179,16 +179,16 @@ def spans_of(text: Column, rule: SecretRule) -> Column:
 def scan_secrets(docs: DataFrame, rules: tuple[SecretRule, ...] = RULES, text: str = "text", id_col: str = "doc_id") -> DataFrame:
     """One row per input row: id, text, ``spans`` array<struct<start, ord, kind, end>> by start, then rule order.
 
-    Null text counts as empty. Rows that share an id are judged each by its own text; rows with
-    a null id are verified against every rule. Other columns of the input are ignored.
+    Null text counts as empty. Postings name a document by id and text hash, so rows that share
+    an id, or have none, are told apart and spread. Other columns of the input are ignored.
     """
     source = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     queries = {r.kind: q for r in rules if (q := trigram_query(r.pattern))}
     named = sorted({g for q in queries.values() for s in q for g in s})
-    doc = fresh(source, "doc")
     if queries:
-        hits = candidates(postings(source, "doc_id", "text", named), queries).withColumnRenamed("doc", doc)
-        source = source.join(hits.hint("shuffle_hash"), F.col("doc_id") == F.col(doc), "left")
+        source = source.withColumns({"doc": F.coalesce(F.col("doc_id").cast("string"), F.lit("")), "hash": F.xxhash64("text")})
+        keys = ["doc", "hash"]
+        source = source.join(candidates(postings(source, keys, "text", named), keys, queries).hint("shuffle_hash"), keys, "left")
     else:
         source = source.withColumn("kinds", F.array().cast("array<string>"))
     none = F.array().cast("array<struct<start:int,end:int>>")
@@ -196,7 +196,7 @@ def scan_secrets(docs: DataFrame, rules: tuple[SecretRule, ...] = RULES, text: s
     def of(order: int, rule: SecretRule) -> Column:
         spans = spans_of(F.col("text"), rule)
         if rule.kind in queries:
-            spans = F.when(F.array_contains("kinds", rule.kind) | F.col("doc_id").isNull(), spans).otherwise(none)
+            spans = F.when(F.array_contains("kinds", rule.kind), spans).otherwise(none)
         return F.transform(spans, lambda s: F.struct(s["start"].alias("start"), F.lit(order).alias("ord"), F.lit(rule.kind).alias("kind"), s["end"].alias("end")))
 
     every = F.array_sort(F.concat(*[of(i, r) for i, r in enumerate(rules)]))
