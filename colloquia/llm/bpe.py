@@ -218,7 +218,7 @@ class PrefixTable:
 
 
 class _Memo(dict):
-    """Results by piece; when full, the older half goes, so that frequent pieces stay."""
+    """Results by piece; when full, the older half goes, so that frequent pieces stay. Pieces over LONG characters aren't kept."""
 
     def __init__(self, make):
         self.make, self.old = make, {}
@@ -227,6 +227,8 @@ class _Memo(dict):
         made = self.old.get(piece)
         if made is None:
             made = self.make(piece)
+        if len(piece) > LONG:
+            return made
         if len(self) >= MEMO:
             self.old = dict(self)
             self.clear()
@@ -273,7 +275,7 @@ def encode_texts(docs: DataFrame, ranks: dict[bytes, int], pattern: str, text: s
     """Add ``ids`` array<int>: each match of ``pattern`` encoded by itself, no special tokens.
 
     Null text counts as empty and gives an empty array; other columns stay; a column named like
-    ``ids`` is replaced. The vocabulary, of fixed size, is broadcast; texts never leave their row.
+    ``ids``, whatever its case, is replaced. The vocabulary, of fixed size, is broadcast; texts never leave their row.
     """
     import regex
 
@@ -299,7 +301,7 @@ def encode_texts(docs: DataFrame, ranks: dict[bytes, int], pattern: str, text: s
             lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), values)
             yield pa.RecordBatch.from_arrays([*batch.columns, lists], names=[*batch.schema.names, hold])
 
-    plain = docs.drop(ids) if ids in docs.columns else docs
+    plain = docs.drop(ids)
     schema = plain.select("*", F.lit(None).cast("array<int>").alias(hold)).schema
     return plain.mapInArrow(run, schema).withColumnRenamed(hold, ids)
 
@@ -319,11 +321,13 @@ def decode_ids(rows: DataFrame, ranks: dict[bytes, int], ids: str = "ids", out:
             column = batch.column(ids)
             at = column.offsets.to_numpy()
             values = column.values.to_numpy()
+            if len(values) and values.min() < 0:
+                raise IndexError("the vocabulary lacks a negative id")
             out = []
             for i in range(len(column)):
-                out.append(b"".join(map(known.__getitem__, values[at[i] : at[i + 1]].tolist())))
+                out.append(b"".join(map(known.__getitem__, values[at[i] : at[i + 1]].tolist())))  # a gap is None, which raises
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, pa.binary())], names=[*batch.schema.names, hold])
 
-    plain = rows.drop(out) if out in rows.columns else rows
+    plain = rows.drop(out)
     schema = plain.select("*", F.lit(None).cast("binary").alias(hold)).schema
     return plain.mapInArrow(run, schema).withColumnRenamed(hold, out)

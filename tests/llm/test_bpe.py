@@ -64,3 +64,15 @@ def test_edit_stays_near(made):
     table = bpe.PrefixTable(encoder, b"the quick brown fox " * 60)
     assert table.replace(40, 41, b"z") < 200
     assert table.ids() == plain(made, table.data)
+
+
+@pytest.mark.parametrize("bad", [-1, 10**6])
+def test_unknown_ids_raise(spark, made, bad):
+    rows = spark.createDataFrame([([bad],)], "ids array<int>")
+    with pytest.raises(Exception, match="IndexError"):
+        bpe.decode_ids(rows, made[0]).collect()
+
+
+def test_memo_keeps_no_long_pieces(made):
+    memo = bpe._Memo(lambda piece: tuple(piece.encode()))
+    assert memo["a" * 10_000] == (97,) * 10_000 and not memo and memo["ab"] == (97, 98) and len(memo) == 1
