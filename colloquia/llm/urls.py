@@ -6,6 +6,7 @@ labelled table and the model have fixed sizes), and scoring is one narrow projec
 
 from __future__ import annotations
 
+import random
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -21,7 +22,7 @@ class UrlModelParams:
     buckets: int = 2048
     gram: int = 4
     epochs: int = 10
-    rate: float = 0.5
+    rate: float = 2.0
     max_labelled: int = 2000  # bound of the labelled table that training gathers
     threshold: float = 0.5
 
@@ -29,20 +30,27 @@ class UrlModelParams:
 #: Rules as (verdict, host, path).
 RULES = (("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/"))
 
-#: Host words of unwanted and of ordinary sites; the labelled table is their product with a few shapes.
+#: Words of unwanted and of ordinary sites, and url shapes that both take in turn.
 UNWANTED = (
     "spam", "spam-mail", "link-farm", "content-farm", "casino", "casino-online", "win-casino", "poker", "jackpot", "slots", "bets", "free-spins",
     "betting", "adult", "adult-chat", "adult-video", "xxx", "x-rated", "porn", "pills", "cheap-meds", "cheap-deals", "pharma-pills", "viagra",
     "replica", "ads", "ad-server", "ads-click", "tracker", "track-pixel", "click-track", "free-money", "free-prize", "payday-loan", "warez", "crack-keys",
 )
 ORDINARY = (
-    "news", "library", "museum", "garden", "weather", "school", "college", "research", "journal", "history", "science", "music",
-    "theatre", "the-times", "cooking", "recipes", "travel", "docs", "manual", "wiki", "forum", "review", "market", "city",
-    "thread", "thunder", "those", "then-and-now", "heather", "ether", "theory", "thistle", "the-hand", "ration", "tension", "shed",
-    "tiny-house", "shop", "onward", "earth", "north-shore", "hearth", "anthem", "author", "method", "path-finder", "weathering", "truth",
-    "village", "north", "another", "within", "together", "further", "nation", "station", "action", "thing", "brother", "other",
+    "news", "library", "museum", "garden", "weather", "school", "college", "research", "journal", "history", "science", "music", "theatre", "times", "cooking", "recipes", "travel", "docs",
+    "manual", "wiki", "forum", "review", "market", "city", "hospital", "bank", "radio", "sport", "football", "railway", "airport", "insurance", "kitchen", "furniture", "software", "cloud",
+    "archive", "gazette", "herald", "council", "society", "institute", "academy", "press", "books", "maps", "photo", "film", "video", "chat", "mail", "online", "server", "click", "deals", "money", "loan", "farm", "free",
 )
-SHAPES = ("{w}.com/en/1", "www.{w}.org/fr/20.html", "blog.{w}.net/de/300/", "m.{w}.com/es/45", "{w}.example.com/en/812", "{w}.info/index")
+SHAPES = ("{w}.com/", "www.{w}.org/about/7.html", "blog.{w}.net/posts/2019/12", "m.{w}.co.uk/index.php", "{w}.info/en/item/300", "pages.site.com/{w}/45")
+#: Names of letters by chance stand for sites of which nothing is known, which are ordinary. Shapes of each unwanted, ordinary and made-up word.
+MADE_UP, SEED, TURNS = 150, 17, (6, 4, 2)
+
+
+def made_up(count: int = MADE_UP, seed: int = SEED) -> list[str]:
+    """Names of two to four syllables, each of one or two consonants and a vowel, of any letters."""
+    rng = random.Random(seed)
+    syllable = lambda: "".join(rng.choices("bcdfghjklmnpqrstvwxyz", k=rng.randint(1, 2))) + rng.choice("aeiouy")
+    return ["".join(syllable() for _ in range(rng.randint(2, 4))) for _ in range(count)]
 
 
 def url_parts(url: Column) -> tuple[Column, Column]:
@@ -74,7 +82,9 @@ def logit(weights: Column, features: Column) -> Column:
 
 def labelled_urls(spark: SparkSession) -> DataFrame:
     """The built-in labelled table (url, bad)."""
-    rows = [(f"https://{shape.format(w=w)}", bad) for bad, words in ((1.0, UNWANTED), (0.0, ORDINARY)) for w in words for shape in SHAPES]
+    rows = []
+    for bad, words, turns in zip((1.0, 0.0, 0.0), (UNWANTED, ORDINARY, made_up()), TURNS, strict=True):
+        rows += [(f"https://{SHAPES[(i + t) % len(SHAPES)].format(w=w)}", bad) for i, w in enumerate(words) for t in range(turns)]
     return spark.createDataFrame(rows, "url string, bad double")
 
 
