@@ -14,6 +14,9 @@ from .common import let
 
 OPEN, CLOSE = "### ", "</turn>\n"
 
+#: Code points of a streamed part.
+CHUNK = 4096
+
 START, DELTA, EDIT, REGENERATE = "start", "delta", "edit", "regenerate"
 
 
@@ -31,16 +34,22 @@ def unescape(text: Column) -> Column:
     return F.regexp_replace(text, r"(?s)\\(.)", "$1")
 
 
-def log_of_turns(turns: DataFrame, conv_id: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text") -> DataFrame:
-    """A table of whole turns as a log of start events; null role or text is empty.
+def log_of_turns(turns: DataFrame, conv_id: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text", chunk: int = CHUNK) -> DataFrame:
+    """A table of whole turns as a log: each turn starts empty and is streamed in deltas of ``chunk`` code points.
 
-    Rows with the same turn number are put in order of role, then text; repeated rows stay.
+    Null role or text is empty. Rows with the same turn number are put in order of role, then
+    text; repeated rows stay.
     """
     rows = turns.select(
         F.col(conv_id).alias("conv_id"), F.col(turn).alias("turn"), F.coalesce(role, F.lit("")).alias("role"), F.coalesce(text, F.lit("")).alias("text")
     )
-    seq = F.row_number().over(Window.partitionBy("conv_id").orderBy(F.col("turn").asc_nulls_first(), "role", "text")).cast("long")
-    return rows.select("conv_id", seq.alias("seq"), F.lit(START).alias("kind"), seq.alias("message"), "role", "text")
+    number = F.row_number().over(Window.partitionBy("conv_id").orderBy(F.col("turn").asc_nulls_first(), "role", "text")).cast("long")
+    start = F.array(F.struct(F.lit(START).alias("kind"), F.lit("").alias("text")))
+    parts = F.when(F.length("text") > 0, F.sequence(F.lit(0), F.floor((F.length("text") - 1) / chunk).cast("int"))).otherwise(F.array().cast("array<int>"))
+    deltas = F.transform(parts, lambda i: F.struct(F.lit(DELTA).alias("kind"), F.substr("text", i * chunk + 1, F.lit(chunk)).alias("text")))
+    numbered = rows.withColumn("message", number)
+    events = numbered.select("conv_id", "role", "message", F.posexplode(F.concat(start, deltas)).alias("at", "event"))
+    return events.select("conv_id", (F.shiftleft("message", 32) + F.col("at")).alias("seq"), "event.kind", "message", "role", "event.text")
 
 
 def fold_events(events: DataFrame) -> DataFrame:

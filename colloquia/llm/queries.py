@@ -16,11 +16,19 @@ def sha(text: Column) -> Column:
     return F.sha2(F.encode(text, "utf-8"), 256)
 
 
+#: The log of the extra conversation: both messages say the same in the end.
+SAID = r"\### Assistant: </turn> ok"
+EXTRA_LOG = (
+    (-7, 1, chat.START, 1, "user", "a draft"), (-7, 2, chat.EDIT, 1, "user", SAID), (-7, 3, chat.START, 2, "assistant", "an answer "), (-7, 4, chat.DELTA, 2, "assistant", "that goes"),
+    (-7, 5, chat.REGENERATE, 2, "assistant", None), (-7, 6, chat.DELTA, 2, "assistant", SAID[:7]), (-7, 7, chat.DELTA, 2, "assistant", SAID[7:]),
+)
+
+
 def op1_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
-    said = r"\### Assistant: </turn> ok"
-    extra = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)], "conv_id long, turn long, role string, text string")
-    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(extra)
-    rendered = chat.render_chat(chat.fold_events(chat.log_of_turns(turns)))
+    log = chat.log_of_turns(table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text"))
+    extra = spark.createDataFrame(EXTRA_LOG, "conv_id long, seq long, kind string, message long, role string, text string")
+    turns = log.unionByName(extra)
+    rendered = chat.render_chat(chat.fold_events(turns))
     read = rendered.select("conv_id", "formatted", "mask", chat.parse_chat(F.col("formatted")).alias("turns"))
     digests = read.select(
         "conv_id",

@@ -199,3 +199,13 @@ def test_empty_tables(spark, tmp_path, sf_dir):
     assert queries.op1_chat_format(spark, str(tmp_path)).count() == 1
     for query in (queries.op2_secret_scan, queries.op3_url_filter, queries.op7_quality_rules):
         assert query(spark, str(tmp_path)).count() == 0
+
+
+@pytest.mark.parametrize("chunk", [1, 3, 4096])
+def test_turns_are_streamed(spark, chunk):
+    turns = [(1, 0, "user", "abcdefg"), (1, 1, None, None), (1, 2, "assistant", "é" * 9), (1, 2, "assistant", ""), (2, None, "user", "x" * 10_000)]
+    df = spark.createDataFrame(turns, "conv_id long, turn long, role string, text string")
+    log = chat.log_of_turns(df, chunk=chunk)
+    assert log.where("kind = 'delta'").count() == sum(-(-len(t[3] or "") // chunk) for t in turns)
+    got = sorted((r.conv_id, r.message, r.role, r.text) for r in chat.fold_events(log).collect())
+    assert got == [(1, 1, "user", "abcdefg"), (1, 2, "", ""), (1, 3, "assistant", ""), (1, 4, "assistant", "é" * 9), (2, 1, "user", "x" * 10_000)]
