@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from .config import VERSIONS, Config
 from .operators import questions as q
 from .operators import ranking
-from .plans import pipeline
+from .plans import full_context, perturb, pipeline
 from .sources import nested, sinks
 
 
@@ -45,6 +45,18 @@ def parser() -> argparse.ArgumentParser:
     score.add_argument("--input", required=True)
     score.add_argument("--output")
     score.add_argument("--summary")
+    full = sub.add_parser("full-context", help="answer questions from whole conversations, score and summarize")
+    full.add_argument("--input_file", required=True)
+    full.add_argument("--responses", required=True, help="Parquet of (step, qid, round, response)")
+    full.add_argument("--output_file")
+    full.add_argument("--figure_view", action="store_true")
+    gap = sub.add_parser("perturb", help="perturb questions and rank them by lost confidence")
+    gap.add_argument("--input", required=True)
+    gap.add_argument("--responses", required=True, help="Parquet of (step, qid, round, response)")
+    gap.add_argument("--tokens", required=True, help="Parquet of token losses (qid, variant, nll, offsets)")
+    gap.add_argument("--processed", help="JSON Lines of (id, conf_orig, conf_para, conf_bt, conf_noise) measured before")
+    gap.add_argument("--output", default="result/final_challenge_set")
+    gap.add_argument("--replaced", help="write the questions with best ones in their place here")
     return top
 
 
@@ -104,6 +116,41 @@ def score(spark: SparkSession, args) -> None:
     print(report)
 
 
+def questions_in(spark: SparkSession, path: str):
+    """(records, questions) of a dataset file; questions without a qid are numbered by place."""
+    records = nested.normalized(nested.records_of(nested.read_documents(spark, path)))
+    questions = ranking.global_rank(nested.questions_of(records), "record_idx", ["qa_idx"], "place", start=1)
+    return records, questions.withColumn("qid", F.coalesce("qid", "place")).drop("place")
+
+
+def full_context_run(spark: SparkSession, args) -> None:
+    """Raw results grouped by conversation as JSON Lines, and the summary as text."""
+    records, questions = questions_in(spark, args.input_file)
+    results = full_context.answer(questions, full_context.histories(records, args.figure_view), pipeline.Responses(spark.read.parquet(args.responses)))
+    results = sinks.staged(results)
+    numbered = results.withColumnsRenamed({"record_idx": "conv_idx", "qid": "question_idx"})
+    path = sinks.output_path(args.input_file, "_full_context_raw", args.output_file)
+    sinks.write_json(sinks.grouped_results(numbered).select(F.to_json(F.struct("conv_idx", "results")).alias("record")), path)
+    report = sinks.metrics_report(full_context.summary(results))
+    with open(f"{path}_mcq_summary.log", "w", encoding="utf-8") as f:
+        f.write(report)
+    print(report)
+
+
+def perturb_run(spark: SparkSession, args) -> None:
+    """The challenge set as JSON Lines by rank; with ``--replaced`` also the questions that it changes."""
+    _, questions = questions_in(spark, args.input)
+    qa = questions.select("qid", "character", "category", "question", "answer")
+    old = spark.read.json(args.processed).withColumnRenamed("id", "qid") if args.processed else None
+    made = sinks.staged(perturb.run(qa, pipeline.Responses(spark.read.parquet(args.responses)), spark.read.parquet(args.tokens), old))
+    made.orderBy("challenge_rank").write.mode("overwrite").json(args.output)
+    print("questions:", made.count())
+    if args.replaced:
+        changed, totals = perturb.replaced_dataset(questions, made)
+        changed.drop("replaced").write.mode("overwrite").json(args.replaced)
+        print(totals.first().asDict())
+
+
 def main(argv: list[str] | None = None) -> None:
     args = parser().parse_args(argv)
     config = Config.load(args.config) if getattr(args, "config", None) else Config()
@@ -117,7 +164,7 @@ def main(argv: list[str] | None = None) -> None:
         made = pipeline.run(spark, f"{config.pipeline.input_dir}/{args.dataset}/*.json", f"{config.pipeline.temp_dir}/{args.dataset}", responses, args.seed, args.start, args.end)
         print({k: v.count() for k, v in made.items()}, f"{time.time() - began:.0f} s")
     else:
-        {"stats": stats, "sample": sample, "overlap": overlap, "score": score}[args.command](spark, args)
+        {"stats": stats, "sample": sample, "overlap": overlap, "score": score, "full-context": full_context_run, "perturb": perturb_run}[args.command](spark, args)
 
 
 if __name__ == "__main__":

@@ -112,3 +112,32 @@ def renumber_sessions(turns: DataFrame) -> DataFrame:
     before = counts.withColumn("_before", F.coalesce(F.sum("_n").over(Window.orderBy("record_idx").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
     numbered = local.join(before.drop("_n"), "record_idx").select("record_idx", "session_no", (F.col("_pos") + F.col("_before")).cast("long").alias("global_session"))
     return turns.join(numbered, ["record_idx", "session_no"])
+
+
+def merged_record(turns: DataFrame, speakers: DataFrame) -> DataFrame:
+    """One conversation of all records, by rows: (key_no, key, value) in the order of its keys.
+
+    First ``speakers`` with the distinct names in order of appearance, where there is one; then each
+    session under its global number, its time (if it has one) before its turns. turns as
+    ``renumber_sessions`` takes them; values are JSON. A writer may join the rows; no task gathers
+    them but a session's own turns.
+    """
+    names = first_appearance(speakers).agg(F.array_sort(F.collect_list(F.struct("position", "name"))).alias("own")).where(F.size("own") > 0)
+    head = names.select(F.lit(0).cast("long").alias("key_no"), F.lit("speakers").alias("key"), F.to_json(F.transform("own", lambda x: x["name"])).alias("value"))
+    said = renumber_sessions(turns)
+    turn = F.struct("turn_idx", F.to_json(F.struct("speaker", "dia_id", "text")).alias("json"))
+    sessions = said.groupBy("global_session").agg(F.max("session_ts").alias("ts"), F.array_sort(F.collect_list(turn)).alias("own"))
+    key = F.concat(F.lit("session_"), F.col("global_session").cast("string"))
+    times = sessions.where("ts IS NOT NULL").select((2 * F.col("global_session") - 1).alias("key_no"), F.concat(key, F.lit("_date_time")).alias("key"), F.to_json(F.array("ts")).alias("value"))
+    times = times.withColumn("value", F.expr("substring(value, 2, length(value) - 2)"))
+    lists = sessions.select((2 * F.col("global_session")).alias("key_no"), key.alias("key"), F.concat(F.lit("["), F.array_join(F.transform("own", lambda t: t["json"]), ","), F.lit("]")).alias("value"))
+    return head.unionByName(times).unionByName(lists)
+
+
+def step_totals(records: DataFrame) -> DataFrame:
+    """One row of the first step's counters: files, reused (records that bring questions), generated (those that don't), questions.
+
+    records: file, qa (array).
+    """
+    own = F.coalesce(F.size("qa"), F.lit(0))
+    return records.agg(F.count_distinct("file").alias("files"), F.count_if(own > 0).alias("reused"), F.count_if(own == 0).alias("generated"), F.coalesce(F.sum(own), F.lit(0)).alias("questions"))

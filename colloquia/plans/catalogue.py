@@ -15,10 +15,12 @@ from pyspark.sql import functions as F
 from ..functions import mcq, text
 from ..operators import questions as q
 from ..operators import ranking, transcript
-from ..sources import nested
+from ..sources import nested, sinks
 from ..streaming import blind as stream
+from . import ablation, full_context, perturb
 from . import derived as d
-from .provider import recorded
+from .pipeline import Responses
+from .provider import recorded, totals
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -546,7 +548,166 @@ def provider_recorded_join(spark, sf):
     return recorded(requests, table).select("qid", "response", "status")
 
 
-@query()
+@query(f"{BLIND_SQL} SELECT *, correct_count / total_count AS accuracy, CASE WHEN correct_count / total_count > 0.5 THEN 'suspected' ELSE 'good' END AS result FROM stats")
 def running_blind_accuracy(spark, sf):
-    """The streaming form of blind_accuracy over the conversation files: rows only, for it needs a query run."""
+    """The streaming form of blind_accuracy over the conversation files."""
     return stream.run_once(spark, sf)
+
+
+# Readers over written files, cut-off arrays, speakers
+
+
+@query(f"WITH {d.QA_SQL} SELECT qid, answer FROM qa")
+def jsonl_fallback(spark, sf):
+    """Items of even conversations as lines, of odd ones as a line with a list, written and read again."""
+    item = F.to_json(F.struct("qid", "answer"))
+    qa, path = d.qa_items(spark, sf), sinks.shared_folder(spark)
+    qa.where("conv_id % 2 = 0").select(item.alias("value")).write.text(f"{path}/lines")
+    lists = qa.where("conv_id % 2 = 1").groupBy("conv_id").agg(F.collect_list(item).alias("items"))
+    lists.select(F.concat(F.lit("["), F.array_join("items", ","), F.lit("]")).alias("value")).write.text(f"{path}/lists")
+    got = nested.read_json_or_lines(spark, f"{path}/*")
+    return got.select(F.get_json_object("value", "$.qid").cast("long").alias("qid"), F.get_json_object("value", "$.answer").alias("answer"))
+
+
+ITEM_SQL = "'{\"qid\":' || CAST(qid AS VARCHAR) || ',\"answer\":\"' || answer || '\"}'"
+
+
+def _item():
+    return F.to_json(F.struct("qid", "answer"))
+
+
+@query(f"""WITH {d.QA_SQL}, items AS (SELECT conv_id, turn, length({ITEM_SQL}) + 1 AS n FROM qa), ends AS (SELECT conv_id, sum(n) OVER (PARTITION BY conv_id ORDER BY turn) AS e, sum(n) OVER (PARTITION BY conv_id) + 1 AS whole FROM items)
+ SELECT conv_id, count(*) FILTER (e <= whole - conv_id % 60) AS n_records FROM ends GROUP BY conv_id""")
+def truncated_array(spark, sf):
+    """Objects before the cut of arrays that lost up to 59 characters."""
+    lists = d.qa_items(spark, sf).groupBy("conv_id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("turn", _item().alias("j")))), lambda r: r["j"]), ",").alias("items"))
+    whole = F.concat(F.lit("["), "items", F.lit("]"))
+    cut = lists.select("conv_id", F.substr(whole, F.lit(1), (F.length(whole) - F.col("conv_id") % 60).cast("int")).alias("value"))
+    return cut.select("conv_id", F.coalesce(F.size(nested.container(F.col("value"))), F.lit(0)).cast("long").alias("n_records"))
+
+
+@query(f"WITH {d.QA_SQL} SELECT '0_' || CAST(row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS VARCHAR) AS id, question, answer FROM qa")
+def loss_questions(spark, sf):
+    row = F.struct("turn", F.to_json(F.struct("question", "answer")).alias("j"))
+    lists = d.qa_items(spark, sf).groupBy("conv_id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(row)), lambda r: r["j"]), ",").alias("items"))
+    return nested.loss_questions(lists.select(F.concat(F.lit('[{"qa":['), "items", F.lit("]}]")).alias("value")))
+
+
+@query(f"WITH {STRINGS_SQL} SELECT id, md5(nullif(regexp_extract(s, '(?s)\\[.*\\]', 0), '')) AS md5 FROM strings")
+def json_array(spark, sf):
+    return _strings(spark, sf).select("id", F.md5(F.encode(text.json_array(F.col("s")), "utf-8")).alias("md5"))
+
+
+@query(f"""WITH {STRINGS_SQL}, bare AS (SELECT id, {strip_sql("regexp_replace(" + strip_sql("CASE WHEN id % 3 = 0 THEN '```json' || chr(10) || s || '```' ELSE s END") + ", '^```(?:json)?\\s*|\\s*```$', '', 'g')")} AS s FROM strings)
+ SELECT id, CASE WHEN s[1:1] = '{{' AND s[-1:] = '}}' AND json_valid(s) THEN md5(s) END AS md5 FROM bare""")
+def strict_json_object(spark, sf):
+    rows = _strings(spark, sf).withColumn("s", F.when(F.col("id") % 3 == 0, F.concat(F.lit("```json\n"), "s", F.lit("```"))).otherwise(F.col("s")))
+    return rows.select("id", F.md5(F.encode(text.strict_json_object(F.col("s")), "utf-8")).alias("md5"))
+
+
+@query(f"""WITH {d.QA_SQL} SELECT qid, CAST(len(list_filter(list_transform(range(0, CAST(qid % 12 AS INTEGER)), lambda i: CASE WHEN (qid + i) % 5 = 0 THEN 'bad' ELSE CAST(((qid + i * 3) % 10) / 10 AS VARCHAR) END), lambda x: coalesce(try_cast(x AS DOUBLE), -1) >= 0.5)) AS INTEGER) AS k FROM qa""")
+def blind_correct_count(spark, sf):
+    n = (F.col("qid") % 12).cast("int")
+    scores = F.transform(F.sequence(F.lit(0), F.greatest(n - 1, F.lit(0))), lambda i: F.when((F.col("qid") + i) % 5 == 0, F.lit("bad")).otherwise((((F.col("qid") + i * 3) % 10) / 10).cast("string")))
+    return d.qa_items(spark, sf).select("qid", ranking.blind_correct(F.when(n > 0, scores).otherwise(F.array().cast("array<string>"))).alias("k"))
+
+
+@query(f"""WITH {NLL_SQL}, own AS (SELECT qid, list_filter(list_transform(range(0, len(l)), lambda i: CASE WHEN i * 4 >= qid % 40 THEN l[i + 1] ELSE -1 END), lambda x: x >= 0) AS l FROM nll)
+ SELECT qid, 0.0 + round(CASE WHEN len(l) = 0 THEN -999.0 ELSE -list_avg(list_reverse_sort(l)[1:greatest(1, CAST(floor(len(l) * 0.2) AS INTEGER))]) END, 9)::DOUBLE AS conf FROM own""")
+def min_k_confidence(spark, sf):
+    rows = _nll(spark, sf).withColumn("offsets", F.transform("nll", lambda x, i: i * 4))
+    return rows.select("qid", F.round(ranking.min_k_confidence(F.col("nll"), F.col("offsets"), F.col("qid") % 40), 9).alias("conf"))
+
+
+SPEAKERS_SQL = """people AS (SELECT DISTINCT conv_id FROM conversations), speakers AS (SELECT conv_id AS record_idx, 1 AS ordinal, 'speaker_1' AS key, 'Ann ' || CAST(conv_id AS VARCHAR) AS name FROM people UNION ALL
+ SELECT conv_id, 2, 'speaker_2', 'Bo' FROM people UNION ALL SELECT conv_id, 3, 'speaker_3', 'Cy' FROM people WHERE conv_id % 2 = 0 UNION ALL SELECT conv_id, 1, 'speaker_1', 'Di' FROM people WHERE conv_id % 3 = 0)"""
+
+
+def _speakers(spark, sf):
+    """Records with speakers by key, by inverted name and by list."""
+    people = d.conversations(spark, sf).select("conv_id").distinct()
+    body = F.concat(
+        F.lit('{"speaker_1":" Ann '), F.col("conv_id").cast("string"), F.lit(' ","speaker_2":"Bo","speaker_9":" ","session_1":[]'),
+        F.when(F.col("conv_id") % 2 == 0, ',"Cy":"speaker_3"').otherwise(""), F.when(F.col("conv_id") % 3 == 0, ',"speakers":["Di",""]').otherwise(""), F.lit("}"),
+    )
+    return nested.speakers_of(people.select(F.col("conv_id").alias("record_idx"), body.alias("conversation")))
+
+
+@query(f"WITH {SPEAKERS_SQL} SELECT * FROM speakers")
+def speaker_extract(spark, sf):
+    return _speakers(spark, sf)
+
+
+@query(f"""WITH {SPEAKERS_SQL}, raw AS (SELECT conv_id AS record_idx, turn AS turn_idx, CASE turn % 4 WHEN 0 THEN '2' WHEN 1 THEN 'speaker_2' WHEN 2 THEN role END AS r FROM conversations)
+ SELECT raw.record_idx, turn_idx, coalesce(name, r, 'None') AS speaker FROM raw LEFT JOIN (SELECT * FROM speakers WHERE key = 'speaker_2') s ON s.record_idx = raw.record_idx AND r IN ('2', 'speaker_2')""")
+def speaker_resolve(spark, sf):
+    raw = F.when(F.col("turn") % 4 == 0, "2").when(F.col("turn") % 4 == 1, "speaker_2").when(F.col("turn") % 4 == 2, F.col("role"))
+    turns = d.conversations(spark, sf).select(F.col("conv_id").alias("record_idx"), F.col("turn").alias("turn_idx"), raw.alias("speaker_raw"))
+    return transcript.speaker_name(turns, _speakers(spark, sf)).select("record_idx", "turn_idx", "speaker")
+
+
+@query(f"""WITH {d.TURNS_SQL}, parts AS (SELECT record_idx, session_no, chr(10) || '--- Turn started at ' || coalesce(max(session_ts), 'Unknown time') || ' ---' || chr(10)
+ || string_agg(CASE WHEN speaker = 'user' THEN 'user' ELSE 'assistant' END || ': ' || text, chr(10) ORDER BY turn_idx) AS part FROM turns GROUP BY record_idx, session_no)
+ SELECT record_idx, md5(string_agg(part, chr(10) ORDER BY session_no)) AS md5 FROM parts GROUP BY record_idx""")
+def full_context_history(spark, sf):
+    """From the nested JSON of a record, whose sessions stand among its speakers and times."""
+    turn = F.struct("turn_idx", F.to_json(F.struct("speaker", "text")).alias("j"))
+    sessions = d.turns(spark, sf).groupBy("record_idx", "session_no").agg(F.max("session_ts").alias("ts"), F.array_join(F.transform(F.array_sort(F.collect_list(turn)), lambda t: t["j"]), ",").alias("own"))
+    key = F.concat(F.lit(',"session_'), F.col("session_no").cast("string"))
+    entry = F.concat(key, F.lit('":['), "own", F.lit("]"), F.coalesce(F.concat(key, F.lit('_date_time":"'), "ts", F.lit('"')), F.lit("")))
+    bodies = sessions.groupBy("record_idx").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("session_no", entry.alias("e")))), lambda x: x["e"]), "").alias("b"))
+    records = bodies.select("record_idx", F.concat(F.lit('{"speaker_a":"user","speaker_b":"assistant"'), "b", F.lit("}")).alias("conversation"))
+    return full_context.histories(records).select("record_idx", F.md5(F.encode("transcript", "utf-8")).alias("md5"))
+
+
+@query(f"""WITH {d.RESPONSES_SQL}, judged AS (SELECT qid, round, CASE WHEN answer = response_option THEN 'right' ELSE 'wrong' END AS result, (qid + round) % 3 AS n_used FROM responses WHERE round <= 5),
+ stops AS (SELECT *, min(CASE WHEN result = 'wrong' OR n_used = 0 THEN round END) OVER before AS s, 1 + coalesce(sum(n_used) OVER before, 0) AS n_gone FROM judged WINDOW before AS (PARTITION BY qid ORDER BY round ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING))
+ SELECT qid, round, result, CAST(n_gone AS BIGINT) AS n_gone FROM stops WHERE s IS NULL""")
+def ablation_plan(spark, sf):
+    """Rounds over recorded responses: each takes away the evidence that it named."""
+    evidence = F.array(F.struct(F.concat(F.lit("D"), F.col("conv_id").cast("string"), F.lit(":0")).alias("dia_id"), F.lit("x").alias("utterance")))
+    qa = d.qa_items(spark, sf).select(F.col("conv_id").alias("record_idx"), "qid", "question", "answer", evidence.alias("evidence_dialogues"))
+    used = F.transform(F.when((F.col("qid") + F.col("round")) % 3 > 0, F.sequence(F.lit(1), ((F.col("qid") + F.col("round")) % 3).cast("int"))).otherwise(F.array().cast("array<int>")), lambda i: F.struct(F.concat(F.lit("D:"), i.cast("string")).alias("dia_id"), F.lit("u").alias("utterance")))
+    said = F.to_json(F.struct(F.col("response_option").alias("answer"), used.alias("evidence_dialogues")))
+    table = d.blind_responses(spark, sf).select(F.lit("ablation").alias("step"), "qid", "round", said.alias("response"))
+    rounds = ablation.run(qa, d.turns(spark, sf), Responses(table))
+    return rounds.select("qid", "round", "result", F.size("all_evidence").cast("long").alias("n_gone"))
+
+
+# Counters, and one record of all conversations
+
+
+@query(f"WITH {d.QA_SQL}, files AS (SELECT conv_id % 7 AS f, conv_id, count(*) AS n FROM qa GROUP BY ALL) SELECT count(DISTINCT f) AS files, count(*) FILTER (conv_id % 3 > 0) AS reused, count(*) FILTER (conv_id % 3 = 0) AS generated, CAST(sum(n) FILTER (conv_id % 3 > 0) AS BIGINT) AS questions FROM files")
+def step_totals(spark, sf):
+    """Records of every third conversation bring no questions along."""
+    records = d.qa_items(spark, sf).groupBy("conv_id").agg(F.collect_list(_item()).alias("items"))
+    return transcript.step_totals(records.select((F.col("conv_id") % 7).alias("file"), F.when(F.col("conv_id") % 3 > 0, F.col("items")).alias("qa")))
+
+
+@query(f"WITH {d.QA_SQL} SELECT 'blind' AS step, CASE WHEN qid % 7 <> 0 THEN 'recorded' ELSE 'missing' END AS status, count(*) AS n FROM qa GROUP BY ALL")
+def provider_totals(spark, sf):
+    requests = d.qa_items(spark, sf).select(F.lit("blind").alias("step"), "qid", F.lit(1).alias("round"))
+    table = d.blind_responses(spark, sf).where("qid % 7 <> 0").select(F.lit("blind").alias("step"), "qid", "round", F.col("response_option").alias("response"))
+    return totals(recorded(requests, table))
+
+
+@query(f"WITH {d.QA_SQL}, t AS (SELECT {strip_sql('question')} IN (SELECT {strip_sql('question')} FROM qa WHERE qid % 3 = 0) AS hit FROM qa) SELECT count(*) FILTER (hit) AS replaced, count(*) FILTER (NOT hit) AS missing FROM t")
+def replaced_totals(spark, sf):
+    qa = d.qa_items(spark, sf)
+    best = qa.where("qid % 3 = 0").select(F.col("question").alias("original_question"), F.lit("best").alias("best_question"), F.col("qid").alias("challenge_rank"))
+    return perturb.replaced_dataset(qa, best)[1]
+
+
+@query(f"WITH {d.QA_SQL} SELECT conv_id AS conv_idx, count(*) FILTER (qid % 11 <> 0) AS n_results, count(*) AS n_questions, count(*) FILTER (qid % 11 <> 0) >= count(*) AS done FROM qa GROUP BY conv_id")
+def conversation_completion(spark, sf):
+    questions = d.qa_items(spark, sf).select(F.col("conv_id").alias("conv_idx"), "qid")
+    return sinks.complete_conversations(questions.where("qid % 11 <> 0"), questions)
+
+
+@query(f"""WITH {d.TURNS_SQL}, s AS (SELECT record_idx, session_no, max(session_ts) AS ts, count(*) AS n, row_number() OVER (ORDER BY record_idx, session_no) AS g FROM turns GROUP BY record_idx, session_no)
+ SELECT 0::BIGINT AS key_no, 'speakers' AS key, (SELECT count(DISTINCT speaker) FROM turns) AS n_values, NULL AS time UNION ALL SELECT 2 * g - 1, 'session_' || CAST(g AS VARCHAR) || '_date_time', NULL, ts FROM s WHERE ts IS NOT NULL
+ UNION ALL SELECT 2 * g, 'session_' || CAST(g AS VARCHAR), n, NULL FROM s""")
+def merged_record(spark, sf):
+    turns = d.turns(spark, sf)
+    rows = transcript.merged_record(turns, turns.select("record_idx", F.col("turn_idx").alias("ordinal"), F.col("speaker").alias("name")))
+    return rows.select("key_no", "key", F.json_array_length("value").cast("long").alias("n_values"), F.when(F.endswith("key", F.lit("_date_time")), F.get_json_object(F.concat(F.lit('{"t":'), "value", F.lit("}")), "$.t")).alias("time"))

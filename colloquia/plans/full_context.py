@@ -6,8 +6,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text
+from ..functions.text import image_suffix
 from ..operators import questions as q
 from ..operators import transcript
+from ..sources import nested
 from ..sources.sinks import staged
 from .pipeline import Responses, request
 
@@ -26,6 +28,24 @@ def prompt_parts(history: Column, question: Column, options: Column, trim: Colum
     }
 
 
+def histories(records: DataFrame, figure_view: bool = False) -> DataFrame:
+    """(record_idx, transcript) of records (record_idx, conversation): each key but speakers and times, in its own order.
+
+    A key whose value isn't a list of turns makes a header alone.
+    """
+    entries = records.select("record_idx", F.from_json("conversation", nested.MAP).alias("m"))
+    keys = entries.select("record_idx", "m", F.posexplode(F.map_entries("m")).alias("key_idx", "e")).where(~F.col("e.key").isin("speaker_a", "speaker_b") & ~F.regexp_like("e.key", F.lit(r"(_date_time|_timestamp)$")))
+    listed = F.when(nested.first_char(F.col("e.value")) == "[", F.from_json("e.value", "array<string>"))
+    whole = F.filter(listed, lambda t: F.array_contains(F.json_object_keys(t), "speaker") & F.array_contains(F.json_object_keys(t), "text"))
+    rows = keys.select("record_idx", "m", "key_idx", "e", F.posexplode_outer(whole).alias("turn_idx", "turn")).withColumn("t", F.from_json("turn", nested.TURN))
+    name = lambda k: F.coalesce(F.try_element_at("m", F.lit(k)), F.lit(k))
+    typed = rows.select(
+        "record_idx", "key_idx", F.try_element_at("m", F.concat("e.key", F.lit("_date_time"))).alias("session_ts"), "turn_idx", F.coalesce("t.speaker", F.lit("")).alias("speaker"),
+        image_suffix(F.coalesce("t.text", F.when(F.col("turn").isNotNull(), "None")), F.col("t.img_url"), F.col("t.blip_caption"), figure_view).alias("text"), name("speaker_a").alias("speaker_a"), name("speaker_b").alias("speaker_b"),
+    )
+    return transcript.two_party_transcript(typed)
+
+
 def requests(questions: DataFrame, histories: DataFrame, trim: int) -> DataFrame:
     """One request per question; histories (record_idx, transcript) are built once per record and joined."""
     joined = questions.join(histories, "record_idx", "left")

@@ -74,3 +74,16 @@ def run(qa: DataFrame, responses: Responses, tokens: DataFrame, processed: DataF
         old = processed.select("qid", F.explode(F.array(*[F.struct(F.lit(v).alias("variant"), F.col(f"conf_{v}").alias("conf")) for v in ("orig", *STEPS)])).alias("c")).select("qid", "c.*")
         conf = conf.unionByName(old)
     return challenge_set(qa, made, conf)
+
+
+def replaced_dataset(qa: DataFrame, challenge: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(qa with best questions in the place of originals, one row: replaced, missing).
+
+    qa: qid, question, ...; challenge as ``run`` gives it. Of equal originals the last by rank wins.
+    """
+    out = q.replace_by_text(qa, challenge.select("original_question", "best_question", F.col("challenge_rank").alias("pos")))
+    return out, replaced_totals(out)
+
+
+def replaced_totals(rows: DataFrame) -> DataFrame:
+    return rows.agg(F.count_if("replaced").alias("replaced"), F.count_if(~F.col("replaced")).alias("missing"))

@@ -52,3 +52,8 @@ def answered(requests: DataFrame, responses: DataFrame, call: Callable[[str], st
     live(pending(requests, responses), call, parallel).write.mode("append").parquet(path)
     new = requests.sparkSession.read.parquet(path).select(*KEYS, "response")
     return recorded(requests, responses.select(*KEYS, "response").unionByName(new))
+
+
+def totals(answered_rows: DataFrame) -> DataFrame:
+    """(step, status, n) of answered requests: how many calls succeeded, failed or are missing."""
+    return answered_rows.groupBy("step", "status").agg(F.count("*").alias("n"))

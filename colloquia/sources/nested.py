@@ -6,6 +6,8 @@ taken apart as maps, which keep the order of their keys.
 
 from __future__ import annotations
 
+from urllib.parse import unquote
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -29,40 +31,76 @@ def by_number(entries: Column) -> Column:
     return F.transform(F.array_sort(keyed), lambda e: e["v"])
 
 
+#: A JSON text's tokens: escapes, quotes, braces and brackets, and what stands between.
+TOKENS = r'(?s)\\.|["{}\[\]]|[^"\\{}\[\]]++'
+
+
+def whole_prefix(array: Column) -> Column:
+    """A cut-off JSON array up to its last whole object, closed; one pass over its tokens."""
+    zero = F.struct(F.lit(0).alias("at"), F.lit(0).alias("depth"), F.lit(0).alias("end"), F.lit(False).alias("quoted"))
+
+    def step(state: Column, token: Column) -> Column:
+        at, bare = state["at"] + F.length(token), ~state["quoted"]
+        depth = state["depth"] + F.when(bare & token.isin("{", "["), 1).when(bare & token.isin("}", "]"), -1).otherwise(0)
+        end = F.when(bare & (token == "}") & (depth == 1), at).otherwise(state["end"])
+        return F.struct(at.alias("at"), depth.alias("depth"), end.alias("end"), (state["quoted"] != (token == '"')).alias("quoted"))
+
+    end = F.aggregate(F.regexp_extract_all(array, F.lit(TOKENS), F.lit(0)), zero, step, lambda s: s["end"])
+    return F.when(end > 0, F.concat(F.substr(array, F.lit(1), end), F.lit("]")))
+
+
 def container(json: Column) -> Column:
-    """array<string> of the objects in a container: an array, one record, or a map by number."""
+    """array<string> of the objects in a container: an array, one record, or a map by number.
+
+    An array that is cut off gives the objects before the cut.
+    """
     text = F.regexp_replace(json, "^\\x{FEFF}", "")
-    items = F.when(first_char(text) == "[", F.from_json(text, "array<string>")).when(is_record(text), F.array(text)).otherwise(by_number(F.map_entries(F.from_json(text, MAP))))
+    whole = F.from_json(text, "array<string>")
+    items = F.when(first_char(text) == "[", F.coalesce(whole, F.from_json(whole_prefix(text), "array<string>"))).when(is_record(text), F.array(text)).otherwise(by_number(F.map_entries(F.from_json(text, MAP))))
     return F.filter(items, lambda x: first_char(x) == "{")
 
 
 def records_of(files: DataFrame, json: str = "value") -> DataFrame:
-    """(input columns, record_idx, record): one row per record of each document; truncated JSON gives none."""
+    """(input columns, record_idx, record): one row per record of each document; truncated JSON gives those before the cut."""
     rest = [c for c in files.columns if c != json]
     return files.select(*rest, F.posexplode(container(F.col(json))).alias("record_idx", "record"))
 
 
-def read_documents(spark: SparkSession, path: str) -> DataFrame:
+def read_documents(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """(file, value): each file whole, by name; for very large inputs stage as JSON Lines and use read_lines."""
     return spark.read.text(path, wholetext=True).select(F.col("_metadata.file_name").alias("file"), "value")
 
 
-def read_lines(spark: SparkSession, path: str) -> DataFrame:
-    """(file, value): one object per line, arrays flattened; splits like any text."""
-    lines = spark.read.text(path).select(F.col("_metadata.file_name").alias("file"), "value").where(F.length(F.trim("value")) > 0)
+def objects(lines: DataFrame) -> DataFrame:
+    """(file, value) with arrays taken apart."""
     return lines.select("file", F.explode(F.when(first_char(F.col("value")) == "[", F.from_json("value", "array<string>")).otherwise(F.array("value"))).alias("value"))
 
 
+def read_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """(file, value): one object per line, arrays flattened; splits like any text."""
+    lines = spark.read.text(path).select(F.col("_metadata.file_name").alias("file"), "value")
+    return objects(lines.where(F.length(F.trim("value")) > 0))
+
+
 def read_json_or_lines(spark: SparkSession, path: str) -> DataFrame:
     """(file, value): the objects of each file, which is one JSON document or JSON Lines.
 
-    A file is Lines if its first line is JSON by itself and is not its only one.
+    A file is Lines if its first line is JSON by itself and is not its only one; such files are read
+    by line, in parallel, and only documents whole. One pass over the lines tells them apart.
     """
-    lines = F.filter(F.split("value", "\\r?\\n"), lambda x: F.trim(x) != "")
-    parts = read_documents(spark, path).select("file", "value", lines.alias("_l"))
-    split = (F.size("_l") > 1) & F.try_parse_json(F.get("_l", F.lit(0))).isNotNull()
-    values = parts.select("file", F.explode(F.when(split, F.col("_l")).otherwise(F.array("value"))).alias("value"))
-    return values.select("file", F.explode(F.when(first_char(F.col("value")) == "[", F.from_json("value", "array<string>")).otherwise(F.array("value"))).alias("value"))
+    lines = spark.read.text(path).where(F.trim("value") != "")
+    place = F.struct("_metadata.file_block_start", F.monotonically_increasing_id())
+    heads = lines.select(F.col("_metadata.file_path").alias("path"), place.alias("at"), "value").groupBy("path").agg(F.min_by("value", "at").alias("head"), F.count("*").alias("n"))
+    split = (F.col("n") > 1) & F.try_parse_json("head").isNotNull()
+    files = {True: [], False: []}
+    for row in heads.select("path", split.alias("split")).collect():  # one row per file, which the driver lists anyway
+        files[row["split"]].append(unquote(row["path"]))
+    out = spark.createDataFrame([], "file string, value string")
+    if files[True]:
+        out = out.unionByName(read_lines(spark, files[True]))
+    if files[False]:
+        out = out.unionByName(objects(read_documents(spark, files[False])))
+    return out
 
 
 def qa_list(json: Column) -> Column:
@@ -131,6 +169,15 @@ def flatten_qa(blocks: DataFrame, outer: str, qa: str) -> DataFrame:
     return flat.select(outer, "inner_id", "_q.*")
 
 
+def loss_questions(documents: DataFrame, json: str = "value") -> DataFrame:
+    """(id, question, answer) of a list of blocks, whose questions are ``block_place``, or of a flat list, by place."""
+    items = records_of(documents, json).select("record_idx", "record", F.json_object_keys("record").alias("keys"))
+    blocks = items.where(F.array_contains("keys", "qa")).select("record_idx", F.posexplode(qa_list(F.get_json_object("record", "$.qa"))).alias("i", "item"))
+    flat = items.where(~F.array_contains("keys", "qa")).select(F.col("record_idx").cast("string").alias("id"), F.col("record").alias("item"))
+    both = blocks.select(F.concat_ws("_", F.col("record_idx").cast("string"), F.col("i").cast("string")).alias("id"), "item").unionByName(flat)
+    return both.select("id", F.get_json_object("item", "$.question").alias("question"), F.get_json_object("item", "$.answer").alias("answer"))
+
+
 def result_entries(documents: DataFrame, json: str) -> DataFrame:
     """(conv_key, question_idx, item) of a result file: a map to lists, a map to records, a record or a list of records."""
     text = F.col(json)

@@ -6,28 +6,32 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 KEEP_NULLS = {"ignoreNullFields": "false"}
 
 
-def staged(df: DataFrame) -> DataFrame:
-    """Write a table to the folder in spark.checkpoint.dir and read it again.
+def shared_folder(spark: SparkSession) -> str:
+    """A new folder's path under spark.checkpoint.dir.
 
-    Where none is set, a local session (tests) takes a temporary folder; a cluster raises, for its
-    executors share no local folder.
+    Where that isn't set, a local session (tests) takes a temporary folder; a cluster raises, for
+    its executors share no local folder.
     """
-    spark = df.sparkSession
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         root = tempfile.mkdtemp(prefix="colloquia-")
         spark.conf.set("spark.checkpoint.dir", root)
-    path = f"{root.rstrip('/')}/colloquia/{uuid.uuid4().hex}"
+    return f"{root.rstrip('/')}/colloquia/{uuid.uuid4().hex}"
+
+
+def staged(df: DataFrame) -> DataFrame:
+    """Write a table to the shared folder and read it again."""
+    path = shared_folder(df.sparkSession)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def write_version(df: DataFrame, path: str, version: str) -> None:
@@ -55,6 +59,23 @@ def grouped_results(results: DataFrame) -> DataFrame:
     return grouped.select("conv_idx", F.concat(F.lit("["), F.array_join(F.transform("items", lambda x: x["json"]), ", "), F.lit("]")).alias("results"))
 
 
+def complete_conversations(results: DataFrame, questions: DataFrame) -> DataFrame:
+    """Add ``done`` to (conv_idx, n_results, n_questions): whether a conversation has a result for each question.
+
+    Both sides are counts per conversation before they are joined; conversations without results stay.
+    """
+    have = results.groupBy("conv_idx").agg(F.count("*").alias("n_results"))
+    want = questions.groupBy("conv_idx").agg(F.count("*").alias("n_questions"))
+    both = want.join(have, "conv_idx", "left").withColumn("n_results", F.coalesce("n_results", F.lit(0)))
+    return both.select("conv_idx", "n_results", "n_questions", (F.col("n_results") >= F.col("n_questions")).alias("done"))
+
+
+def finalize_results(batches: DataFrame, questions: DataFrame, path: str) -> None:
+    """Group the results of complete conversations and replace the table at ``path``, by the writer's own commit."""
+    done = complete_conversations(batches, questions).where("done").select("conv_idx")
+    grouped_results(batches.join(done, "conv_idx", "left_semi")).write.mode("overwrite").parquet(path)
+
+
 def write_json(records: DataFrame, path: str, column: str = "record") -> None:
     """One JSON record per line, in parallel part files."""
     records.select(F.col(column).alias("value")).write.mode("overwrite").text(path)
@@ -89,8 +110,9 @@ def write_report_csv(rows: DataFrame, path: str, order: list[str], bom: bool = F
         writer.writerows(["" if v is None else v for v in r] for r in got)
 
 
-#: Title and empty text of the metrics report.
+#: Title, empty text, column header and row of the metrics report.
 REPORT_TITLE, REPORT_EMPTY = "   FULL CONTEXT MCQ SUMMARY", "No results to summarize."
+REPORT_HEAD, REPORT_ROW = f"{'Category':<10} | {'Count':<6} | {'MCQ':<8}", "{:<10} | {:<6} | {:<8.4f}"
 
 
 def metrics_report(summary: DataFrame) -> str:
@@ -100,11 +122,10 @@ def metrics_report(summary: DataFrame) -> str:
     out = ["", line, REPORT_TITLE, line]
     if not rows.get("ALL", (0,))[0]:
         return "\n".join([*out, REPORT_EMPTY, ""])
-    head = f"{'Category':<10} | {'Count':<6} | {'MCQ':<8}"
     key = lambda c: (0, int(c), "") if c.lstrip("-").isdigit() else (1, 0, c)
-    body = [f"{c:<10} | {rows[c][0]:<6} | {rows[c][1]:<8.4f}" for c in [*sorted((c for c in rows if c != "ALL"), key=key), "ALL"]]
-    rule = "-" * len(head)
-    return "\n".join([*out, head, rule, *body[:-1], rule, body[-1], line, ""])
+    body = [REPORT_ROW.format(c, *rows[c]) for c in [*sorted((c for c in rows if c != "ALL"), key=key), "ALL"]]
+    rule = "-" * len(REPORT_HEAD)
+    return "\n".join([*out, REPORT_HEAD, rule, *body[:-1], rule, body[-1], line, ""])
 
 
 def output_path(source: str, suffix: str, given: str | None = None) -> str:
