@@ -21,8 +21,9 @@ NEAR_COPY = neardup.JaccardParams(shingle=5, percent=80)
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a letter, or in none of the learned languages, go."""
-    judged = language.identify(docs, queries.language_model(docs), out="_lang_pred")
-    return judged.where((F.col("_lang_pred") != language.UNKNOWN) & (F.col("share") >= LEAST_LANGUAGE_SHARE)).select(*docs.columns)
+    found = [fresh(docs, name) for name in ("lang_pred", "score", "share")]
+    judged = language.identify(docs, queries.language_model(docs), "text", *found)
+    return judged.where((F.col(found[0]) != language.UNKNOWN) & (F.col(found[2]) >= LEAST_LANGUAGE_SHARE)).drop(*found)
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -34,25 +35,26 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     key, mark = fresh(docs, "k"), fresh(docs, "text_hash")
     first = linked.where(F.col("root") == F.struct("k", "a")).select(F.col("k").alias(key), F.col("a").alias(mark)).distinct()
     keyed = docs.withColumns({key: F.coalesce(F.col("doc_id").cast("long"), F.lit(-(2**63))), mark: F.xxhash64(F.coalesce("text", F.lit("")))})
-    return keyed.join(first, [key, mark], "left_semi").dropDuplicates([key, mark]).select(*docs.columns)
+    return keyed.join(first, [key, mark], "left_semi").dropDuplicates([key, mark]).drop(key, mark)
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a benchmark item go."""
     leaks = decontaminate.find_leaks(docs, table(spark, sf_dir, "benchmark"))
-    return decontaminate.drop_leaks(docs, leaks).select(*docs.columns)
+    return decontaminate.drop_leaks(docs, leaks)
 
 
 def pii_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents stay; personal data in their texts is put as its kind in brackets."""
-    clean = pii.find_pii(docs, pii.train())
-    text = F.when(F.col("text").isNotNull(), F.col("redacted"))
+    spans, redacted = fresh(docs, "spans"), fresh(docs, "redacted")
+    clean = pii.find_pii(docs, pii.train(), "text", spans, redacted)
+    text = F.when(F.col("text").isNotNull(), F.col(redacted))
     new = {"text": text, "n_chars": F.coalesce(F.length(text), F.lit(0)).cast("long")}
-    return clean.select(*[new[c].alias(c) if c in new else F.col(c) for c in docs.columns])
+    return clean.withColumns({c: new[c] for c in new if c in docs.columns}).drop(spans, redacted)
 
 
 def token_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of each document, instead of its text."""
+    """Token ids of each document, instead of its text; columns named ``ids`` and ``n_tokens`` are the stage's own."""
     encoded = bpe.encode_texts(docs, *queries.tokenizer())
     return encoded.drop("text").withColumn("n_tokens", F.size("ids").cast("long"))
 
