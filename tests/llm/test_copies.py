@@ -83,3 +83,36 @@ def test_passages_double_until_none_survives(spark):
         want |= level
         length *= 2
     assert got == want and max(x[2] for x in got) == 80
+
+
+def test_windows_that_many_texts_hold(spark, monkeypatch):
+    """Passages in nearly every text, in one slice or in many: the rows are the same, and few windows meet."""
+    words = [f"w{i}" for i in range(80)]
+    rows = [(i, " ".join([f"a{i}"] * (i % 3) + words[: 25 + i % 40] + [f"b{i}", f"b{i * 7}"])) for i in range(60)] + [(100, " ".join(words[:60] * 2)), (None, " ".join(words[5:50])), (101, " ".join(words[5:50]))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    want = plain(sorted(rows, key=lambda r: -1 if r[0] is None else r[0]))
+    for parts in (1, 5, 40):
+        got = substrings.remove_repeats(docs.repartition(parts)).collect()
+        assert sorted(((r.doc_id, r.n_words, r.n_removed, hashlib.sha256(r.kept_text.encode()).hexdigest()) for r in got), key=lambda r: -1 if r[0] is None else r[0]) == want
+    many = docs.where("doc_id IS NOT NULL").selectExpr("doc_id AS k", "xxhash64(text) AS a", "text AS t", "false AS gone").coalesce(1)
+    seen = substrings.level_windows(many, 20, 0, "k", "a", "t", "gone", None, True)
+    assert seen.groupBy("p").count().agg({"count": "max"}).first()[0] == 1
+
+
+def test_null_ids_are_spread(spark):
+    rows = [(None, " ".join(f"v{i}x{j}" for j in range(40))) for i in range(200)] + [(1, " ".join(f"v3x{j}" for j in range(40)) + " y")]
+    got = substrings.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string").repartition(8))
+    assert {(r.doc_id, r.n_removed) for r in got.collect()} == {(None, 0), (1, 40)}
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        sizes = substrings.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string").repartition(8)).rdd.mapPartitions(lambda p: [sum(1 for _ in p)]).collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert max(sizes) < 100
+
+
+def test_a_row_listed_very_often(spark):
+    text = " ".join(f"w{i}" for i in range(30))
+    rows = [(7, text)] * 300 + [(9, text)] * 3 + [(2, "q " + text), (7, "other " * 30)]
+    got = substrings.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted({(r.doc_id, r.n_words, r.n_removed) for r in got}) == [(2, 31, 0), (7, 30, 29), (7, 30, 30), (9, 30, 30)] and len(got) == len(rows)
