@@ -17,7 +17,7 @@ from ..operators import questions as q
 from ..operators import ranking, transcript
 from ..sources import nested, sinks
 from ..streaming import blind as stream
-from . import ablation, full_context, perturb
+from . import ablation, full_context, perturb, pipeline
 from . import derived as d
 from .pipeline import Responses
 from .provider import recorded, totals
@@ -711,3 +711,139 @@ def merged_record(spark, sf):
     turns = d.turns(spark, sf)
     rows = transcript.merged_record(turns, turns.select("record_idx", F.col("turn_idx").alias("ordinal"), F.col("speaker").alias("name")))
     return rows.select("key_no", "key", F.json_array_length("value").cast("long").alias("n_values"), F.when(F.endswith("key", F.lit("_date_time")), F.get_json_object(F.concat(F.lit('{"t":'), "value", F.lit("}")), "$.t")).alias("time"))
+
+
+# Steps over recorded responses, and the smaller functions
+
+
+@query(f"""WITH {d.QA_SQL} SELECT conv_id * 1000 AS conv_id, count(*) AS n_questions, CAST(min(qid) AS BIGINT) AS first_qid FROM qa GROUP BY conv_id""")
+def dataset_stream(spark, sf):
+    """Records whose questions are a list or a map by number, their conversations and entries that are no records."""
+    item = F.struct("turn", F.concat(F.lit('"'), F.col("turn").cast("string"), F.lit('":')).alias("k"), F.to_json(F.struct("qid")).alias("j"))
+    rows = d.qa_items(spark, sf).groupBy("conv_id").agg(F.array_sort(F.collect_list(item)).alias("own"))
+    listed = F.concat(F.lit("["), F.array_join(F.transform("own", lambda x: x["j"]), ","), F.lit("]"))
+    mapped = F.concat(F.lit("{"), F.array_join(F.transform(F.reverse("own"), lambda x: F.concat(x["k"], x["j"])), ","), F.lit("}"))
+    value = F.concat(F.lit('[3, "x", null, {"filename":"'), F.col("conv_id").cast("string"), F.lit('000","conversation":{"session_1":[]},"qa":'), F.when(F.col("conv_id") % 2 == 0, listed).otherwise(mapped), F.lit("}]"))
+    records = nested.normalized(nested.records_of(rows.select(value.alias("value"))))
+    flat = nested.questions_of(records)
+    first = F.min(F.when(F.col("qa_idx") == 0, F.col("qid")))
+    return flat.groupBy(F.col("filename").cast("long").alias("conv_id")).agg(F.count("*").alias("n_questions"), first.alias("first_qid"))
+
+
+@query(f"""WITH {d.QA_SQL} SELECT character, count(*) AS n, md5(string_agg(CAST(conv_id AS VARCHAR) || ':' || CAST(qid AS VARCHAR) || ':' || answer, ',' ORDER BY conv_id, qid)) AS md5 FROM qa GROUP BY character""")
+def compact_clusters(spark, sf):
+    """Each character's questions by episode, read back from the prompt's JSON."""
+    qa = d.qa_items(spark, sf).withColumns({"episode_index": F.col("conv_id"), "option": F.array(F.lit("A. x"))})
+    read = q.compact_clusters(qa).select("character", F.from_json("cluster", "array<struct<qid:bigint,episode_index:bigint,answer:string>>").alias("c"))
+    line = F.transform("c", lambda x: F.concat_ws(":", x["episode_index"].cast("string"), x["qid"].cast("string"), x["answer"]))
+    return read.select("character", F.size("c").cast("long").alias("n"), F.md5(F.encode(F.array_join(line, ","), "utf-8")).alias("md5"))
+
+
+@query(f"""WITH {d.QA_SQL}, keys AS (SELECT DISTINCT CASE WHEN conv_id % 3 = 0 THEN 'K' || CAST(conv_id AS VARCHAR) WHEN conv_id % 3 = 1 THEN 'k' || CAST(conv_id AS VARCHAR) ELSE CAST(conv_id AS VARCHAR) END AS key FROM qa)
+ SELECT key, row_number() OVER (ORDER BY NOT regexp_full_match(key, '[0-9]+'), try_cast(key AS BIGINT), lower(key)) AS position FROM keys""")
+def mixed_key_order_lower(spark, sf):
+    key = F.when(F.col("conv_id") % 3 == 0, F.concat(F.lit("K"), F.col("conv_id").cast("string"))).when(F.col("conv_id") % 3 == 1, F.concat(F.lit("k"), F.col("conv_id").cast("string"))).otherwise(F.col("conv_id").cast("string"))
+    keys = d.conversations(spark, sf).select(key.alias("key")).distinct()
+    _, number, low = text.mixed_order_lower(F.col("key"))
+    return ranking.global_rank(keys.withColumns({"_n": number.cast("double"), "_l": low}), "_n", ["_l"], "position", start=1).drop("_n", "_l")
+
+
+@query(f"""WITH {d.QA_SQL} SELECT qid, CASE WHEN qid % 3 = 0 THEN 'b' || CAST(conv_id AS VARCHAR) || ':' || CASE WHEN qid % 2 = 0 THEN CAST(turn AS VARCHAR) ELSE '' END ELSE 'idx:' || CAST(CASE WHEN turn > 0 THEN turn ELSE qid END AS VARCHAR) END AS item_id FROM qa""")
+def loss_item_id(spark, sf):
+    outer = F.when(F.col("qid") % 3 == 0, F.concat(F.lit("b"), F.col("conv_id").cast("string"))).when(F.col("qid") % 3 == 1, "")
+    inner = F.when(F.col("qid") % 2 == 0, F.col("turn"))
+    return d.qa_items(spark, sf).select("qid", nested.loss_item_id(outer, inner, F.col("turn"), F.col("qid")).alias("item_id"))
+
+
+@query(f"""WITH {d.QA_SQL} SELECT qid, 'v' || CAST(turn AS VARCHAR) AS version, substr(question, 1, 40) AS preview, CAST(length(question) // 2 AS BIGINT) AS tokens,
+ length(regexp_replace(question, '\\s+$', '') || chr(10) || 'Answer: ') AS answer_at, CAST(qid // 60 AS VARCHAR) || 'm ' || CAST(qid % 60 AS VARCHAR) || 's' AS took,
+ CASE WHEN qid % 3 = 0 THEN question || ' [Image: u' || CAST(turn AS VARCHAR) || '] with caption: c' ELSE question END AS shown FROM qa""")
+def text_helpers(spark, sf):
+    qa = d.qa_items(spark, sf)
+    file = F.concat(F.lit("a_v_b_v"), F.col("turn").cast("string"), F.lit(".json"))
+    url, caption = F.when(F.col("qid") % 3 != 1, F.concat(F.lit("u"), F.col("turn").cast("string"))), F.when(F.col("qid") % 3 != 2, F.lit("c"))
+    return qa.select(
+        "qid", text.version_of(file).alias("version"), text.preview(F.col("question")).alias("preview"), text.token_estimate(F.col("question")).alias("tokens"),
+        text.answer_offset(F.col("question"), F.col("answer")).cast("long").alias("answer_at"), text.duration(F.col("qid")).alias("took"), text.image_suffix(F.col("question"), url, caption, True).alias("shown"),
+    )
+
+
+@query(f"""WITH {d.RESPONSES_SQL}, said AS (SELECT qid, answer, response_option AS r FROM responses WHERE round = 1 AND qid % 5 <> 0)
+ SELECT qa.qid, CASE WHEN r = qa.answer THEN 'right' ELSE 'maybe_wrong' END AS result FROM qa LEFT JOIN said USING (qid)""")
+def evidence_check_step(spark, sf):
+    """v1 over recorded responses, some of which are plain letters, some JSON and some missing."""
+    said = F.when(F.col("qid") % 2 == 0, F.concat(F.lit('so {"answer": "'), "response_option", F.lit('. x"}'))).otherwise(F.col("response_option"))
+    table = d.blind_responses(spark, sf).where("round = 1 AND qid % 5 <> 0").select(F.lit("check").alias("step"), "qid", F.lit(0).alias("round"), said.alias("response"))
+    qa = d.qa_items(spark, sf).withColumns({"option": F.array(F.lit("A. x")), "evidence_dialogues": F.array(F.struct(F.lit("D1").alias("dia_id"))), "reasoning_steps": F.lit(None).cast("array<string>")})
+    return pipeline.check_evidence(qa, Responses(table)).select("qid", "only_evidence_check.result")
+
+
+@query(f"WITH {d.VERSIONS_SQL} SELECT qid, CASE WHEN qid % 4 = 0 THEN 'null' ELSE 'L' || CAST(qid % 3 AS VARCHAR) END AS label FROM versions WHERE version = 'v1' AND check_result = 'right' AND NOT late_right")
+def label_step(spark, sf):
+    """v2 over recorded responses: sufficient questions with the label that was answered."""
+    rows = d.versions(spark, sf).where("version = 'v1'")
+    rounds = F.transform("ablation", lambda r: F.struct(r["round"].alias("round"), F.lit("").alias("answer"), r["result"].alias("result")))
+    qa = rows.select(F.col("conv_id").alias("record_idx"), "qid", "question", "label", F.struct(F.col("check_result").alias("result")).alias("only_evidence_check"), rounds.alias("iterative_evidence_ablation"))
+    table = rows.where("qid % 4 <> 0").select(F.lit("label").alias("step"), "qid", F.lit(0).alias("round"), F.concat(F.lit(" L"), (F.col("qid") % 3).cast("string"), F.lit("\n")).alias("response"))
+    return pipeline.label(qa, d.turns(spark, sf), Responses(table)).select("qid", "label")
+
+
+@query(f"{BLIND_SQL} SELECT qa.qid, result, correct_count, total_count, accuracy FROM qa LEFT JOIN (SELECT qid, correct_count, total_count, printf('%.4f', correct_count / total_count) AS accuracy, CASE WHEN correct_count / total_count > 0.5 THEN 'suspected' ELSE 'good' END AS result FROM stats WHERE qid % 6 <> 0) USING (qid)")
+def blind_step(spark, sf):
+    """v4 over recorded responses; questions that were never answered have no check."""
+    said = F.concat(F.lit('```json\n{"option": "'), "response_option", F.lit('"}\n```'))
+    table = d.blind_responses(spark, sf).where("qid % 6 <> 0").select(F.lit("blind").alias("step"), "qid", "round", said.alias("response"))
+    qa = d.qa_items(spark, sf).withColumn("option", F.array(F.lit("A. x")))
+    return pipeline.blind(qa, Responses(table)).select("qid", "pollution_check.result", "pollution_check.correct_count", "pollution_check.total_count", "pollution_check.accuracy")
+
+
+@query(f"""WITH {d.QA_SQL} SELECT qid, CASE WHEN qid % 8 = 7 THEN NULL ELSE answer END AS response, CAST(qid % 8 > 0 AS INTEGER) AS max_context_exceeded, CASE WHEN qid % 8 = 7 THEN 'overflow' WHEN qid % 8 = 6 THEN 'missing' ELSE 'recorded' END AS status, category
+ FROM qa WHERE qid % 8 <> 6 UNION ALL SELECT qid, NULL, 0, 'missing', category FROM qa WHERE qid % 8 = 6""")
+def full_context_answers(spark, sf):
+    """Answers that come after so many cuts of the history as the id says; some overflow to the end, some aren't recorded."""
+    qa = d.qa_items(spark, sf).withColumns({"record_idx": F.col("conv_id"), "option": F.array(F.lit("A. x"), F.lit("y"))})
+    trims = qa.where("qid % 8 <> 6").withColumn("round", F.explode(F.sequence(F.lit(0), F.lit(5))))
+    said = F.when((F.col("qid") % 8 == 7) | (F.col("round") < F.col("qid") % 8), full_context.OVERFLOW).otherwise(F.col("answer"))
+    table = trims.select(F.lit("full_context").alias("step"), "qid", "round", said.alias("response"))
+    rows = full_context.answer(qa, transcript.session_transcript(d.turns(spark, sf)), Responses(table))
+    return rows.select("qid", "response", "max_context_exceeded", "status", "category")
+
+
+@query(f"""WITH {d.QA_SQL}, conf AS (SELECT qid, (qid % 17) / 4 AS o, -CAST((qid % 13) AS DOUBLE) / 4 AS p, CASE WHEN qid % 5 = 0 THEN -999.0 ELSE -CAST((qid % 7) AS DOUBLE) / 4 END AS b, -CAST((qid % 11) AS DOUBLE) / 4 AS n FROM qa),
+ gaps AS (SELECT qid, -o - p AS gp, -o - b AS gb, -o - n AS gn, greatest(-o - p, -o - b, -o - n) AS gap FROM conf)
+ SELECT qid AS id, CASE WHEN gp >= gb AND gp >= gn THEN 'para' WHEN gb >= gn THEN 'bt' ELSE 'noise' END AS best_type, round(gap, 9) AS best_gap,
+ CASE WHEN gp >= gb AND gp >= gn THEN 'para ' WHEN gb >= gn THEN 'en ' ELSE 'noise ' END || CAST(qid AS VARCHAR) AS best_question, row_number() OVER (ORDER BY gap DESC, qid) AS challenge_rank FROM gaps""")
+def perturbation_run(spark, sf):
+    """Three variants of every question from recorded responses, measured by recorded token losses, best ones ranked."""
+    qa = d.qa_items(spark, sf).select("qid", "character", "category", "question", "answer")
+    own = F.col("qid").cast("string")
+    steps = [("perturb_para", 0, "para "), ("perturb_bt", 0, "de "), ("perturb_bt", 1, "fr "), ("perturb_bt", 2, "en "), ("perturb_noise", 0, "noise ")]
+    said = F.explode(F.array(*[F.struct(F.lit(s).alias("step"), F.lit(i).alias("round"), F.concat(F.lit(t), own).alias("response")) for s, i, t in steps]))
+    table = qa.select("qid", said.alias("r")).select("qid", "r.*")
+    loss = lambda v, m: F.struct(F.lit(v).alias("variant"), F.array((F.col("qid") % m).cast("double") / 4).alias("nll"), F.array(F.when((F.col("qid") % 5 == 0) & F.lit(v == "bt"), 0).otherwise(10_000)).alias("offsets"))
+    tokens = qa.select("qid", F.explode(F.array(loss("orig", 17), loss("para", 13), loss("bt", 7), loss("noise", 11))).alias("t")).select("qid", "t.*")
+    return perturb.run(qa, Responses(table), tokens).select("id", "best_type", F.round("best_gap", 9).alias("best_gap"), "best_question", "challenge_rank")
+
+
+@query(f"""WITH {d.QA_SQL} SELECT conv_id AS conv_idx, count(*) AS n, md5(string_agg(CAST(qid AS VARCHAR) || answer, ',' ORDER BY qid)) AS md5 FROM qa GROUP BY conv_id""")
+def grouped_results(spark, sf):
+    """Result rows grouped by conversation in order of question, read back from their JSON."""
+    rows = d.qa_items(spark, sf).select(F.col("conv_id").alias("conv_idx"), F.col("qid").alias("question_idx"), "qid", "answer", F.lit(None).cast("string").alias("response"))
+    read = sinks.grouped_results(rows).select("conv_idx", F.from_json("results", "array<struct<qid:string,answer:string>>").alias("r"))
+    return read.select("conv_idx", F.size("r").cast("long").alias("n"), F.md5(F.encode(F.array_join(F.transform("r", lambda x: F.concat(x["qid"], x["answer"])), ","), "utf-8")).alias("md5"))
+
+
+@query(f"WITH {d.QA_SQL} SELECT qid % 50 AS id, max(qid) AS qid, arg_max(answer, qid) AS answer FROM qa GROUP BY qid % 50")
+def processed_cache(spark, sf):
+    rows = d.qa_items(spark, sf).select((F.col("qid") % 50).alias("id"), "qid", "answer")
+    return nested.latest_by_id(rows, "id", "qid")
+
+
+@query(f"WITH {d.VERSIONS_SQL} SELECT version, count(*) AS n, CAST(sum(qid) AS BIGINT) AS qids FROM versions GROUP BY version")
+def version_tables(spark, sf):
+    """Versions written beside one another, one of them twice, and read again."""
+    rows, path = d.versions(spark, sf).select("version", "qid"), sinks.shared_folder(spark)
+    sinks.write_version(rows.where("version = 'v0'").drop("version"), path, "v2")
+    for version in ("v0", "v1", "v2", "v3", "v4"):
+        sinks.write_version(rows.where(F.col("version") == version).drop("version"), path, version)
+    return sinks.read_versions(spark, path).groupBy(F.col("version").cast("string").alias("version")).agg(F.count("*").alias("n"), F.sum("qid").alias("qids"))

@@ -10,7 +10,7 @@ BATCH = [n for n in catalogue.QUERIES if n != "running_blind_accuracy"]
 #: Joins without an equal key: one row with one row.
 KEYLESS = {"dataset_stats"}
 #: Windows without a partition: over one row per record, per distinct name or per threshold.
-UNKEYED = {"session_renumber", "speaker_first_seen", "overlap_curve", "best_threshold"}
+UNKEYED = {"session_renumber", "merged_record", "speaker_first_seen", "overlap_curve", "best_threshold"}
 
 
 def plan(df) -> str:
