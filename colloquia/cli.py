@@ -24,6 +24,7 @@ def parser() -> argparse.ArgumentParser:
     run.add_argument("--start", type=int, default=0)
     run.add_argument("--end", type=int, default=5)
     run.add_argument("--seed", default="0")
+    run.add_argument("--by-name", action="store_true", help="take files in the order of their names, and the first record of each")
     run.add_argument("--config")
     show = sub.add_parser("show", help="print configuration and versions")
     show.add_argument("--config")
@@ -161,7 +162,7 @@ def main(argv: list[str] | None = None) -> None:
     if args.command == "run":
         began = time.time()
         responses = pipeline.Responses(spark.read.parquet(args.responses))
-        made = pipeline.run(spark, f"{config.pipeline.input_dir}/{args.dataset}/*.json", f"{config.pipeline.temp_dir}/{args.dataset}", responses, args.seed, args.start, args.end)
+        made = pipeline.run(spark, f"{config.pipeline.input_dir}/{args.dataset}/*.json", f"{config.pipeline.temp_dir}/{args.dataset}", responses, args.seed, args.start, args.end, args.by_name)
         print({k: v.count() for k, v in made.items()}, f"{time.time() - began:.0f} s")
     else:
         {"stats": stats, "sample": sample, "overlap": overlap, "score": score, "full-context": full_context_run, "perturb": perturb_run}[args.command](spark, args)

@@ -39,3 +39,16 @@ def run(questions: DataFrame, turns: DataFrame, responses: Responses, rounds: in
         out = one if out is None else out.unionByName(one)
         now = done.where((F.col("result") == "right") & (F.size("used") > 0)).select("record_idx", "qid", "question", "key", F.concat("gone", "used").alias("gone"))
     return out
+
+
+def with_rounds(questions: DataFrame, turns: DataFrame, responses: Responses, rounds: int = 5) -> DataFrame:
+    """``questions`` with ``iterative_evidence_ablation``: those whose check is right get the rounds that were reached.
+
+    Others pass unchanged. questions as ``run`` takes them, with only_evidence_check and iterative_evidence_ablation.
+    """
+    pending = F.coalesce(F.col("only_evidence_check.result") == "right", F.lit(False))
+    entry = "struct<round:int,answer:string,result:string>"
+    reached = run(questions.where(pending), turns, responses, rounds).select("qid", F.struct("round", "answer", "result").cast(entry).alias("e"))
+    listed = reached.groupBy("qid").agg(F.array_sort(F.collect_list("e")).alias("_rounds"))
+    done = F.when(pending, F.coalesce("_rounds", F.array().cast(f"array<{entry}>"))).otherwise(F.col("iterative_evidence_ablation"))
+    return questions.join(listed, "qid", "left").withColumn("iterative_evidence_ablation", done).drop("_rounds")

@@ -660,18 +660,50 @@ def full_context_history(spark, sf):
     return full_context.histories(records).select("record_idx", F.md5(F.encode("transcript", "utf-8")).alias("md5"))
 
 
-@query(f"""WITH {d.RESPONSES_SQL}, judged AS (SELECT qid, round, CASE WHEN answer = response_option THEN 'right' ELSE 'wrong' END AS result, (qid + round) % 3 AS n_used FROM responses WHERE round <= 5),
- stops AS (SELECT *, min(CASE WHEN result = 'wrong' OR n_used = 0 THEN round END) OVER before AS s, 1 + coalesce(sum(n_used) OVER before, 0) AS n_gone FROM judged WINDOW before AS (PARTITION BY qid ORDER BY round ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING))
- SELECT qid, round, result, CAST(n_gone AS BIGINT) AS n_gone FROM stops WHERE s IS NULL""")
-def ablation_plan(spark, sf):
-    """Rounds over recorded responses: each takes away the evidence that it named."""
+ABLATED_SQL = """judged AS (SELECT qid, round, CASE WHEN answer = response_option THEN 'right' ELSE 'wrong' END AS result, (qid + round) % 3 AS n_used FROM responses WHERE round <= 5),
+ stops AS (SELECT *, min(CASE WHEN result = 'wrong' OR n_used = 0 THEN round END) OVER before AS s, 1 + coalesce(sum(n_used) OVER before, 0) AS n_gone FROM judged WINDOW before AS (PARTITION BY qid ORDER BY round ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING))"""
+
+
+def _ablated(spark, sf):
+    """Questions with a first piece of evidence, and recorded responses that name up to two more each."""
     evidence = F.array(F.struct(F.concat(F.lit("D"), F.col("conv_id").cast("string"), F.lit(":0")).alias("dia_id"), F.lit("x").alias("utterance")))
     qa = d.qa_items(spark, sf).select(F.col("conv_id").alias("record_idx"), "qid", "question", "answer", evidence.alias("evidence_dialogues"))
     used = F.transform(F.when((F.col("qid") + F.col("round")) % 3 > 0, F.sequence(F.lit(1), ((F.col("qid") + F.col("round")) % 3).cast("int"))).otherwise(F.array().cast("array<int>")), lambda i: F.struct(F.concat(F.lit("D:"), i.cast("string")).alias("dia_id"), F.lit("u").alias("utterance")))
     said = F.to_json(F.struct(F.col("response_option").alias("answer"), used.alias("evidence_dialogues")))
-    table = d.blind_responses(spark, sf).select(F.lit("ablation").alias("step"), "qid", "round", said.alias("response"))
-    rounds = ablation.run(qa, d.turns(spark, sf), Responses(table))
-    return rounds.select("qid", "round", "result", F.size("all_evidence").cast("long").alias("n_gone"))
+    return qa, d.blind_responses(spark, sf).select(F.lit("ablation").alias("step"), "qid", "round", said.alias("response"))
+
+
+@query(f"WITH {d.RESPONSES_SQL}, {ABLATED_SQL} SELECT qid, round, result, CAST(n_gone AS BIGINT) AS n_gone FROM stops WHERE s IS NULL")
+def ablation_plan(spark, sf):
+    """Rounds over recorded responses: each takes away the evidence that it named."""
+    qa, table = _ablated(spark, sf)
+    return ablation.run(qa, d.turns(spark, sf), Responses(table)).select("qid", "round", "result", F.size("all_evidence").cast("long").alias("n_gone"))
+
+
+@query(f"""WITH {d.RESPONSES_SQL}, {ABLATED_SQL}, n AS (SELECT qid, count(*) AS n, arg_max(result, round) AS r FROM stops WHERE s IS NULL GROUP BY qid)
+ SELECT qid, CASE WHEN qid % 3 = 0 THEN n ELSE 1 END AS n_rounds, CASE WHEN qid % 3 = 0 THEN r ELSE 'old' END AS last_result FROM qa LEFT JOIN n USING (qid)""")
+def ablation_pending(spark, sf):
+    """Only questions whose check is right are asked; the others keep the rounds that they have."""
+    qa, table = _ablated(spark, sf)
+    check = F.when(F.col("qid") % 3 == 0, "right").when(F.col("qid") % 3 == 1, "maybe_wrong")
+    had = F.array(F.struct(F.lit(1).alias("round"), F.lit("A").alias("answer"), F.lit("old").alias("result")))
+    asked = qa.withColumns({"only_evidence_check": F.struct(check.alias("result")), "iterative_evidence_ablation": had})
+    rows = ablation.with_rounds(asked, d.turns(spark, sf), Responses(table))
+    return rows.select("qid", F.size("iterative_evidence_ablation").cast("long").alias("n_rounds"), F.element_at("iterative_evidence_ablation", -1)["result"].alias("last_result"))
+
+
+@query(f"""WITH {d.TURNS_SQL}, {d.QA_SQL}, named AS (SELECT conv_id AS record_idx, qid, 'D' || CAST(conv_id AS VARCHAR) || ':' || CAST((turn + 1) % 4 AS VARCHAR) AS gone FROM qa),
+ modes AS (SELECT 'default' AS mode UNION ALL SELECT 'except'), parts AS (SELECT mode, qid, session_no, chr(10) || '--- Turn started at ' || coalesce(max(session_ts), 'Unknown time') || ' ---' || chr(10) || string_agg(speaker || ': ' || text, chr(10) ORDER BY turn_idx) AS part
+ FROM named JOIN turns USING (record_idx), modes WHERE mode = 'default' OR dia_id <> gone GROUP BY mode, qid, session_no), whole AS (SELECT mode, qid, {strip_sql("string_agg(part, chr(10) ORDER BY session_no)")} AS t FROM parts GROUP BY mode, qid)
+ SELECT m.mode, n.qid, md5(coalesce(t, '')) AS md5 FROM named n, modes m LEFT JOIN whole w ON w.mode = m.mode AND w.qid = n.qid
+ UNION ALL SELECT 'only', qid, md5('[{{"dia_id":"' || gone || '"}}]' || chr(10) || '[]') FROM named""")
+def evidence_modes(spark, sf):
+    """The context of a question in the three modes."""
+    gone = F.concat(F.lit("D"), F.col("conv_id").cast("string"), F.lit(":"), ((F.col("turn") + 1) % 4).cast("string"))
+    named = F.array(F.struct(gone.alias("dia_id"), F.lit(None).cast("string").alias("utterance")))
+    qa = d.qa_items(spark, sf).select(F.col("conv_id").alias("record_idx"), "qid", named.alias("evidence_dialogues"), F.lit(None).cast("array<string>").alias("reasoning_steps"))
+    parts = [pipeline.evidence_context(qa, d.turns(spark, sf), mode).select(F.lit(mode).alias("mode"), "qid", F.md5(F.encode("context", "utf-8")).alias("md5")) for mode in ("only", "except", "default")]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
 # Counters, and one record of all conversations

@@ -39,10 +39,15 @@ def request(df: DataFrame, step: str, qid: Column, round_: Column, prompt: Colum
     return df.select(F.lit(step).alias("step"), qid.cast("long").alias("qid"), round_.cast("int").alias("round"), prompt.alias("prompt"))
 
 
-def load(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(records, turns, speakers) of all JSON files under ``path``, episodes in numeric order."""
+def load(spark: SparkSession, path: str, by_name: bool = False) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(records, turns, speakers) of all JSON files under ``path``, episodes in numeric order or in that of their names.
+
+    By name only a file's first record counts.
+    """
     files = nested.read_documents(spark, path)
-    parts = nested.records_of(files.withColumn("_n", F.coalesce(F.regexp_extract("file", r"_(\d+)\.json$", 1).try_cast("int"), F.lit(2**30)))).withColumnRenamed("record_idx", "_in_file")
+    number = F.lit(0) if by_name else F.coalesce(F.regexp_extract("file", r"_(\d+)\.json$", 1).try_cast("int"), F.lit(2**30))
+    parts = nested.records_of(files.withColumn("_n", number)).withColumnRenamed("record_idx", "_in_file")
+    parts = parts.where("_in_file = 0") if by_name else parts
     ordered = global_rank(parts, "_n", ["file", "_in_file"], "record_idx")
     records = nested.normalized(ordered.select("record_idx", "file", "record")).withColumn("filename", F.coalesce("filename", "file"))
     records = records.where(F.coalesce(F.size(F.json_object_keys("conversation")), F.lit(0)) > 0)
@@ -76,11 +81,35 @@ def rendered() -> Column:
     return F.concat_ws("\n", "question", F.array_join("option", "\n"), F.lit(text.INSTRUCTION))
 
 
+def evidence_json() -> Column:
+    """Evidence and reasoning of a question as JSON; what is missing is an empty list."""
+    empty = F.lit("[]")
+    return F.concat_ws("\n", F.coalesce(F.to_json("evidence_dialogues"), empty), F.coalesce(F.to_json("reasoning_steps"), empty))
+
+
+def evidence_context(questions: DataFrame, turns: DataFrame, mode: str = "default") -> DataFrame:
+    """(qid, context) that a prompt of each mode builds on.
+
+    only: the evidence itself; except: the conversation without it; default: all of the
+    conversation. questions: record_idx, qid, evidence_dialogues, reasoning_steps.
+    """
+    if mode == "only":
+        return questions.select("qid", evidence_json().alias("context"))
+    if mode == "except":
+        named = questions.select("record_idx", "qid", F.explode_outer("evidence_dialogues").alias("e")).select("record_idx", "qid", "e.dia_id", "e.utterance")
+        left = transcript.without_evidence(turns, named).drop("record_idx").withColumnRenamed("qid", "record_idx")
+        whole = transcript.session_transcript(left).withColumnRenamed("record_idx", "qid")
+        joined = questions.select("qid").join(whole, "qid", "left")
+    elif mode == "default":
+        joined = questions.select("record_idx", "qid").join(transcript.session_transcript(turns), "record_idx", "left")
+    else:
+        raise ValueError(f"unknown mode {mode}")
+    return joined.select("qid", F.coalesce("transcript", F.lit("")).alias("context"))
+
+
 def check_evidence(questions: DataFrame, responses: Responses) -> DataFrame:
     """v1: whether evidence and reasoning alone give the right letter; nothing is dropped."""
-    empty = F.lit("[]")
-    evidence = F.concat_ws("\n", F.coalesce(F.to_json("evidence_dialogues"), empty), F.coalesce(F.to_json("reasoning_steps"), empty))
-    prompt = F.concat(F.lit("Answer from this evidence alone, as JSON with an answer.\n"), evidence, F.lit("\n"), rendered())
+    prompt = F.concat(F.lit("Answer from this evidence alone, as JSON with an answer.\n"), evidence_json(), F.lit("\n"), rendered())
     got = responses.answer(request(questions, "check", F.col("qid"), F.lit(0), prompt)).select("qid", "response", "status")
     joined = questions.join(got, "qid")
     said = F.coalesce(F.get_json_object(text.clean_json(F.col("response")), "$.answer"), F.when(F.col("status") == "recorded", F.col("response")))
@@ -126,9 +155,9 @@ def blind(questions: DataFrame, responses: Responses, rounds: int = 10, threshol
     return q.backfill(questions, checked, ["qid"])
 
 
-def run(spark: SparkSession, path: str, out: str, responses: Responses, seed: str = "0", start: int = 0, end: int = 5) -> dict[str, DataFrame]:
+def run(spark: SparkSession, path: str, out: str, responses: Responses, seed: str = "0", start: int = 0, end: int = 5, by_name: bool = False) -> dict[str, DataFrame]:
     """Run steps ``start`` to ``end``; each version is written under ``out`` and read again. Returns the versions made."""
-    records, turns, speakers = load(spark, path)
+    records, turns, speakers = load(spark, path, by_name)
     made: dict[str, DataFrame] = {}
 
     def version(name: str) -> DataFrame:

@@ -57,6 +57,15 @@ def test_live_then_recorded(spark, scripts, tmp_path):
         assert made[name].select(*columns).exceptAll(again[name].select(*columns)).isEmpty()
 
 
+def test_files_by_name(spark, scripts, tmp_path):
+    names = sorted(f.name for f in scripts.glob("*.json"))
+    by_name = [r.filename for r in pipeline.load(spark, f"{scripts}/*.json", by_name=True)[0].orderBy("record_idx").collect()]
+    by_number = [r.filename for r in pipeline.load(spark, f"{scripts}/*.json")[0].orderBy("record_idx").collect()]
+    assert by_name == [n.removesuffix(".json") for n in names] and sorted(by_name) == sorted(by_number) and by_number != by_name
+    (tmp_path / "a_1.json").write_text(json.dumps([{"conversation": {"session_1": []}, "filename": str(i)} for i in range(3)]))
+    assert [r.filename for r in pipeline.load(spark, str(tmp_path), by_name=True)[0].collect()] == ["0"]
+
+
 def test_provider_status(spark):
     ask = spark.createDataFrame([("s", 1, 0, "good"), ("s", 2, 0, "bad")], "step string, qid long, round int, prompt string")
 
