@@ -15,12 +15,13 @@ from pyspark.sql import functions as F
 
 from .common import let, words_of
 
-#: Wording of licence, rights and consent lines. ``under the ... license`` is looked for from the start of a run
-#: of its characters and takes the run's first ``under the``, so a line is passed once.
+#: Wording of licence, rights and consent lines.
 BOILERPLATE = (
-    r"(?i)(licen[sc]ed under|(?<![a-z0-9 .-])(?>[a-z0-9 .-]*?under the )[a-z0-9 .-]*licen[sc]e|all rights reserved|copyright \(c\)|creative commons"
+    r"(?i)(licen[sc]ed under|all rights reserved|copyright \(c\)|creative commons"
     r"|cookie policy|privacy policy|terms of (use|service)|subscribe to our|javascript is disabled)"
 )
+#: ``under the ... license``, from the start of a run of its characters and the run's first ``under the``, so a line is passed once.
+LICENCE = r"(?i)(?<![a-z0-9 .-])(?>[a-z0-9 .-]*?under the )[a-z0-9 .-]*licen[sc]e"
 SYMBOLS = r"[#*$%&|<>]"
 
 
@@ -59,6 +60,11 @@ def repeated_words(words: Column, window: int) -> Column:
     return F.when(n <= window, F.lit(0)).otherwise(let(hashes, ranked)).cast("long")
 
 
+def boilerplate(line: Column) -> Column:
+    """Whether a line has such wording; the licence pattern is tried only where its first words stand."""
+    return F.regexp_like(line, F.lit(BOILERPLATE)) | (F.regexp_like(line, F.lit("(?i)under the ")) & F.regexp_like(line, F.lit(LICENCE)))
+
+
 def line_fails(line: Column, rules: QualityRules) -> Column:
     """Whether a line with a word breaks a line rule; lines without words never fail."""
     solid = F.regexp_replace(line, r"[\x20\x09-\x0D]+", "")
@@ -68,7 +74,7 @@ def line_fails(line: Column, rules: QualityRules) -> Column:
     return (F.length(solid) > 0) & (
         (symbols * 100 > F.length(solid) * rules.max_symbol_percent)
         | (pipes * 100 > F.size(words) * rules.max_pipe_percent)
-        | F.regexp_like(line, F.lit(BOILERPLATE))
+        | boilerplate(line)
         | ((F.size(words) < rules.stub_words) & ~F.regexp_like(line, F.lit(r"[.!?:;…。！？][\x20\x09-\x0D\"')\]»”]*$")))
     )
 
