@@ -133,7 +133,8 @@ def find_leaks(docs: DataFrame, bench: DataFrame, params: LeakParams = LeakParam
     windows = written(windows)
     # Fingerprints and ids meet first; words are fetched for pairs within the radius.
     asked = windows.select("w", "m", "fp", F.explode(block_keys(F.col("fp"), params.blocks)).alias("key"))
-    met = asked.join(indexed(items.select("i", "m", "ifp"), "ifp", params), ["m", "key"])
+    # The index grows with the items, and more than the planner sees: it is never broadcast.
+    met = asked.join(indexed(items.select("i", "m", "ifp"), "ifp", params).hint("merge"), ["m", "key"])
     pairs = met.where(F.bit_count(F.col("fp").bitwiseXOR(F.col("ifp"))) <= params.radius).select("w", "i").distinct()
     both = pairs.join(windows.drop("m", "fp"), "w").join(items.select("i", "item_id", "iw"), "i")
     similar = weighted_similarity(shingle_texts(F.col("ww"), k), shingle_texts(F.col("iw"), k))
